@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from lapwing.llm.decontaminate import op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from lapwing.llm.pii import op8_pii
 
 
 def queries() -> dict:
     return {
+        "op4_decontamination": op4_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
+        "op8_pii": op8_pii,
     }
 
 
