@@ -52,6 +52,9 @@ def _frequent(digests: DataFrame, counters: int, slices: int) -> DataFrame:
     return (
         digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(slices)).alias("slice"))
         .agg(sketch.alias("sketch"))
+        # Grouped by a constant: an ungrouped aggregate would also merge the blank
+        # summaries of tasks without rows, which the combining function rejects.
+        .groupBy((F.col("slice") * 0).alias("all"))
         .agg(combine.alias("sketch"))
         .where("sketch is not null")
         .select(F.explode(estimate).alias("e"))
