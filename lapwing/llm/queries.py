@@ -5,6 +5,7 @@ from __future__ import annotations
 from lapwing.llm.decontaminate import op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from lapwing.llm.pii import op8_pii
+from lapwing.llm.simhash import op10_simhash
 
 
 def queries() -> dict:
@@ -12,6 +13,7 @@ def queries() -> dict:
         "op4_decontamination": op4_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
         "op8_pii": op8_pii,
+        "op10_simhash": op10_simhash,
     }
 
 
