@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from lapwing.llm.byte_bpe import op3_byte_bpe
 from lapwing.llm.decontaminate import op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from lapwing.llm.pii import op8_pii
 from lapwing.llm.simhash import op10_simhash
+from lapwing.llm.token_counts import op7_token_counts
 
 
 def queries() -> dict:
     return {
+        "op3_byte_bpe": op3_byte_bpe,
         "op4_decontamination": op4_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
+        "op7_token_counts": op7_token_counts,
         "op8_pii": op8_pii,
         "op10_simhash": op10_simhash,
     }
