@@ -129,16 +129,21 @@ def hits(
         # One row per document is kept by the marker: position -1 always matches.
         probes = F.concat(F.array(marker), *[per_length(n) for n in lengths]) if lengths else F.array(marker)
         rows = base.select("doc_id", "text_hash", "w", probes.alias("probes"))
-        rows = rows.select("doc_id", "text_hash", "w", F.explode("probes").alias("p"))
+        # explode_outer: plain explode lets the optimizer infer a filter on the array's
+        # size, pushed to the scan with every hash step inlined.  No array is empty.
+        rows = rows.select("doc_id", "text_hash", "w", F.explode_outer("probes").alias("p"))
         rows = rows.select("doc_id", "text_hash", "w", F.col("p.n").alias("n"), F.col("p.at").alias("at"), F.col("p.h").alias("h"))
         always = docs.sparkSession.range(1).select(
-            F.lit(0).alias("n"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<string>").alias("gram"), F.array().cast("array<string>").alias("items")
+            F.lit(0).alias("known_n"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<string>").alias("gram"), F.array().cast("array<string>").alias("items")
         )
         known = always
         if hashed is not None:
             mine = hashed.where(F.pmod("h", F.lit(blocks)) == b) if blocks > 1 else hashed
-            known = always.unionByName(mine.select("n", "h", "gram", "items"))
-        met = rows.join(F.broadcast(known), ["n", "h"]).where((F.col("at") < 0) | (F.slice("w", F.col("at") + 1, F.col("n")) == F.col("gram")))
+            known = always.unionByName(mine.select(F.col("n").alias("known_n"), "h", "gram", "items"))
+        verified = F.when(F.col("at") < 0, F.col("known_n") == 0).otherwise(
+            (F.col("known_n") == F.col("n")) & (F.slice("w", F.greatest(F.col("at"), F.lit(0)) + 1, F.col("n")) == F.col("gram"))
+        )
+        met = rows.join(F.broadcast(known), "h").where(verified)
         found.append(met.select("doc_id", "text_hash", F.when(F.col("at") < 0, F.size("w")).alias("n_words"), "at", "n", "items"))
     met = reduce(DataFrame.unionByName, found)
     hit = F.when(F.col("at") >= 0, F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")))
