@@ -153,11 +153,11 @@ def _ids_array(parts: list[bytes]):
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
 
 
-def _rows(batches: Iterator, column: str, cost) -> Iterator[tuple]:
-    """``(batch, lo, hi)`` slices of bounded size."""
+def _rows(batches: Iterator, column: str, cost, max_cost: int = 8 << 20) -> Iterator:
+    """Slices of batches, of bounded size."""
     for batch in batches:
         sizes = cost(batch.column(batch.schema.get_field_index(column)))
-        for group in batches_of(zip(sizes, range(batch.num_rows))):
+        for group in batches_of(zip(sizes, range(batch.num_rows)), max_cost=max_cost):
             yield batch.slice(group[0], len(group))
 
 

@@ -8,6 +8,7 @@ from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from lapwing.llm.pii import op8_pii
 from lapwing.llm.simhash import op10_simhash
 from lapwing.llm.token_counts import op7_token_counts
+from lapwing.llm.token_store import op9_token_store
 
 
 def queries() -> dict:
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_pii": op8_pii,
+        "op9_token_store": op9_token_store,
         "op10_simhash": op10_simhash,
     }
 
