@@ -9,10 +9,12 @@ from lapwing.llm.pii import op8_pii
 from lapwing.llm.simhash import op10_simhash
 from lapwing.llm.token_counts import op7_token_counts
 from lapwing.llm.token_store import op9_token_store
+from lapwing.llm.toxicity import op1_toxicity
 
 
 def queries() -> dict:
     return {
+        "op1_toxicity": op1_toxicity,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_decontamination": op4_decontamination,
         "op6_exact_dedup": op6_exact_dedup,
