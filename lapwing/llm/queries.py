@@ -5,6 +5,7 @@ from __future__ import annotations
 from lapwing.llm.byte_bpe import op3_byte_bpe
 from lapwing.llm.decontaminate import op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
+from lapwing.llm.lm_scoring import op5_lm_scoring
 from lapwing.llm.pii import op8_pii
 from lapwing.llm.simhash import op10_simhash
 from lapwing.llm.token_counts import op7_token_counts
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op1_toxicity": op1_toxicity,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_decontamination": op4_decontamination,
+        "op5_lm_scoring": op5_lm_scoring,
         "op6_exact_dedup": op6_exact_dedup,
         "op7_token_counts": op7_token_counts,
         "op8_pii": op8_pii,
