@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +42,12 @@ from lapwing.llm.components import components
 MAX_BITS = 3
 SHINGLE = 3
 HOT = 8192
+_SMALL = 8
 _SEG = 16
 
 
 def fingerprint_of(text: str | None, shingle: int = SHINGLE) -> int:
     """Unsigned 64-bit fingerprint of one text."""
-    import numpy as np
     from xxhash import xxh64_intdigest
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -68,8 +69,6 @@ def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
 
     @F.pandas_udf("long")
     def fp(texts: pd.Series) -> pd.Series:
-        import numpy as np
-
         out = np.array([fingerprint_of(t, shingle) for t in texts], dtype=np.uint64)
         return pd.Series(out.view(np.int64))
 
@@ -100,8 +99,6 @@ def finer_masks(mask: int) -> list[int]:
 
 def _chain_links(a, b, start):
     """Where the pairs of fingerprints link by a viable chain from ``start``."""
-    import numpy as np
-
     x, turn = a ^ b, np.uint64(_SEG * start)
     if start:
         x = (x >> turn) | (x << np.uint64(64 - _SEG * start))
@@ -113,8 +110,6 @@ def _chain_links(a, b, start):
 
 def _forest(members, start) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of one bucket."""
-    import numpy as np
-
     n = len(members)
     parent = list(range(n))
 
@@ -139,23 +134,42 @@ def _compare(hot_size: int) -> Callable[[Iterator], Iterator]:
     return lambda batches: _compared(batches, hot_size)
 
 
+class _Rows:
+    """Output rows, gathered until there are enough for a batch."""
+
+    def __init__(self):
+        self._parts, self._n = [], 0
+
+    def add(self, hot: bool, start: int, mask: int, a, b) -> None:
+        if len(a):
+            self._parts.append((hot, start, mask, np.asarray(a, np.uint64), np.asarray(b, np.uint64)))
+            self._n += len(a)
+
+    def batches(self, least: int) -> Iterator:
+        import pyarrow as pa
+
+        if self._n <= least:
+            return
+        size = [len(x[3]) for x in self._parts]
+        cols = [np.repeat([x[k] for x in self._parts], size) for k in range(3)]
+        cols = [pa.array(cols[0], pa.bool_()), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int64))]
+        cols += [pa.array(np.concatenate([x[k] for x in self._parts]).view(np.int64)) for k in (3, 4)]
+        self._parts, self._n = [], 0
+        yield pa.RecordBatch.from_arrays(cols, ["hot", "start", "mask", "a", "b"])
+
+
 def _compared(batches: Iterator, hot_size: int) -> Iterator:
     """Sorted ``start, mask, fp`` rows to ``hot, start, mask, a, b`` rows: links,
-    or (``hot``) members of a bucket that is too large to compare here."""
-    import numpy as np
-    import pyarrow as pa
+    or (``hot``) members of a bucket that is too large to compare here.
 
-    def emit(hot, start, mask, a, b):
-        cols = [pa.array([hot] * len(a), pa.bool_()), pa.array(np.full(len(a), start, np.int32)), pa.array(np.full(len(a), mask, np.int64))]
-        cols += [pa.array(np.asarray(x, dtype=np.uint64).view(np.int64)) for x in (a, b)]
-        return pa.RecordBatch.from_arrays(cols, ["hot", "start", "mask", "a", "b"])
+    Buckets of up to ``_SMALL`` members are compared all together, neighbour with
+    neighbour, then with the next but one, and so on; larger ones one by one."""
+    out = _Rows()
 
     def close(group, start, mask):
-        members = np.concatenate(group)
-        edges = _forest(members, start)
+        edges = _forest(np.concatenate(group), start % 4)
         if edges:
-            a, b = zip(*edges)
-            yield emit(False, start, mask, a, b)
+            out.add(False, start, mask, *zip(*edges))
 
     group, key, held, hot = [], None, 0, False
     for batch in batches:
@@ -166,41 +180,58 @@ def _compared(batches: Iterator, hot_size: int) -> Iterator:
         bucket = fp & mask.view(np.uint64)
         change = np.flatnonzero((bucket[1:] != bucket[:-1]) | (mask[1:] != mask[:-1]) | (start[1:] != start[:-1])) + 1
         bounds = np.concatenate([[0], change, [len(fp)]])
-        # Buckets of one member inside a batch are passed over without a loop.
-        plain = bounds[1:] - bounds[:-1] == 1
-        plain[0] = plain[-1] = False
+        size = bounds[1:] - bounds[:-1]
+        plain = size <= _SMALL
+        plain[0] = plain[-1] = False  # they may go on in the next batch
+        at = np.repeat(np.where(plain, np.arange(len(size)), -1), size)
+        for step in range(1, _SMALL):
+            i = np.flatnonzero((at[step:] == at[:-step]) & (at[step:] >= 0))
+            if not len(i):
+                break
+            for turn in range(4):
+                j = i[start[i] % 4 == turn]
+                if len(j):
+                    j = j[_chain_links(fp[j], fp[j + step], turn)]
+                    for s in np.unique(start[j]).tolist():
+                        k = j[start[j] == s]
+                        out.add(False, s, 0, fp[k], fp[k + step])
         for k in np.flatnonzero(~plain).tolist():
             lo, hi = int(bounds[k]), int(bounds[k + 1])
             this = (int(start[lo]), int(mask[lo]), int(bucket[lo]))
             if this != key:
                 if key is not None and not hot and held > 1:
-                    yield from close(group, key[0], key[1])
+                    close(group, key[0], key[1])
                 group, key, held, hot = [], this, 0, False
             part = fp[lo:hi].copy()
             held += hi - lo
             if hot:
-                yield emit(True, key[0], key[1], part, part)
+                out.add(True, key[0], key[1], part, part)
             else:
                 group.append(part)
                 if held > hot_size:
                     hot, whole, group = True, np.concatenate(group), []
-                    yield emit(True, key[0], key[1], whole, whole)
+                    out.add(True, key[0], key[1], whole, whole)
+        yield from out.batches(20_000)
     if key is not None and not hot and held > 1:
-        yield from close(group, key[0], key[1])
+        close(group, key[0], key[1])
+    yield from out.batches(0)
 
 
 def links(prints: DataFrame, hot_size: int = HOT) -> DataFrame:
     """Links ``a, b`` that connect exactly the fingerprints (distinct ``fp``)
-    which a path of steps of at most 3 bits connects."""
+    which a path of steps of at most 3 bits connects; of each ``seed`` apart, if
+    there is such a column."""
     where = [F.struct(F.lit(s).alias("start"), F.lit(_signed(m)).alias("mask")) for s, m in first_masks()]
-    rows = prints.select("fp", F.explode(F.array(*where)).alias("w")).select("w.start", "w.mask", "fp")
+    seed = F.col("seed") if "seed" in prints.columns else F.lit(0)
+    rows = prints.select("fp", seed.alias("seed"), F.explode(F.array(*where)).alias("w"))
+    rows = rows.select((F.col("seed") * 4 + F.col("w.start")).cast("int").alias("start"), "w.mask", "fp")
     found = None
     finer = F.udf(lambda m: [_signed(x) for x in finer_masks(m % (1 << 64))], "array<long>")
     while True:
         bucket = F.col("fp").bitwiseAND(F.col("mask"))
-        dealt = rows.repartition("mask", bucket.alias("bucket")).sortWithinPartitions("start", "mask", bucket)
+        dealt = rows.repartition("start", "mask", bucket.alias("bucket")).sortWithinPartitions("start", "mask", bucket)
         out = materialize(dealt.mapInArrow(_compare(hot_size), "hot boolean, start int, mask long, a long, b long"), "buckets")
-        edges = out.where("not hot").select("a", "b")
+        edges = out.where("not hot").select(F.expr("start div 4").cast("int").alias("seed"), "a", "b")
         found = edges if found is None else found.unionByName(edges)
         hot = out.where("hot")
         if hot.isEmpty():
@@ -212,7 +243,7 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shi
     """One row per row of ``docs``: ``doc_id, fp, component_id``."""
     prints = materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    roots = materialize(components(links(nodes.select("fp"))), "roots")
+    roots = materialize(components(links(nodes.select("fp")).select("a", "b")), "roots")
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = materialize(named, "named")
     least = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")), "components")
@@ -220,6 +251,66 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shi
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
+def word_prints(docs: DataFrame, seeds: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``rid, doc_id, text_hash, fps``: ``seeds`` independent fingerprints of each
+    text's distinct words.
+
+    Words change less than shingles when a text is edited: where one word in fifty
+    is another, a fingerprint of five-word shingles moves by ten bits, one of
+    distinct words by four."""
+    from lapwing.llm.byte_bpe import _rows, _text_cost
+    from lapwing.llm.lm_scoring import _mixed, token_hashes
+
+    def run(batches):
+        import pyarrow as pa
+
+        for piece in _rows(batches, "text", _text_cost):
+            codes, size = token_hashes(piece.column(3).to_pylist())
+            prints = np.zeros((len(size), seeds), np.uint64)
+            for k, end in enumerate(np.cumsum(size).tolist()):
+                words = np.unique(codes[end - size[k] : end - 1])  # without the end
+                for s in range(seeds):
+                    h = _mixed(words + np.uint64(s * 0x9E3779B97F4A7C15 % (1 << 64)))
+                    ones = np.zeros(64, np.int64)
+                    for at in range(0, len(h), 4096):
+                        ones += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+                    prints[k, s] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+            fps = pa.ListArray.from_arrays(pa.array(np.arange(0, seeds * len(size) + 1, seeds, np.int32)), pa.array(prints.reshape(-1).view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*[piece.column(i) for i in range(3)], fps], ["rid", "doc_id", "text_hash", "fps"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(7)).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(run, "rid long, doc_id long, text_hash long, fps array<long>")
+
+
+def near_deduplicate(docs: DataFrame, seeds: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near duplicates the one
+    with the smallest id (nulls last), with all its columns.
+
+    Two texts link if one of their ``seeds`` word fingerprints differs in at most
+    3 bits; a group is what links connect.  At a five-word-shingle similarity of
+    0.8 a single fingerprint finds about two links in five; with four, the
+    closer copies are found all but surely and most at the limit."""
+    rows = materialize(word_prints(docs, seeds, text_col, id_col), "word-prints")
+    long = rows.select("rid", F.posexplode("fps").alias("seed", "fp"))
+    nodes = materialize(long.groupBy("seed", "fp").agg(F.min("rid").alias("node")), "nodes")
+    found = materialize(links(nodes.select("seed", "fp")), "links")
+    a, b = (nodes.select("seed", F.col("fp").alias(c), F.col("node").alias(f"n{c}")) for c in "ab")
+    across = found.join(a, ["seed", "a"]).join(b, ["seed", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
+    same = long.join(nodes, ["seed", "fp"]).where("rid != node").select(F.col("rid").alias("a"), F.col("node").alias("b"))
+    groups = materialize(components(across.unionByName(same)), "groups")
+    member = rows.select("rid", "doc_id", "text_hash").join(groups.withColumnRenamed("node", "rid"), "rid")
+    member = materialize(member, "members")
+    first = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "rid")).alias("first"))
+    marked = member.join(materialize(first, "first"), "root").select("doc_id", "text_hash", (F.col("rid") == F.col("first.rid")).alias("stays"))
+    # A row that agrees with its group's first one in id and text stays with it.
+    gone = marked.groupBy("doc_id", "text_hash").agg(F.max("stays").alias("stays")).where("not stays")
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")), "gone")
+    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(7)).alias("_hash"))
+    on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash"))
+    return left.join(gone, on, "left_anti").select("row.*")
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     found = classes(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

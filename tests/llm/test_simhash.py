@@ -36,7 +36,7 @@ def brute_classes(prints):
 
 def _roots(spark, values, hot_size=simhash.HOT):
     nodes = spark.createDataFrame([(simhash._signed(int(v)),) for v in values], "fp long")
-    got = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in components(simhash.links(nodes, hot_size)).collect()}
+    got = {r["node"] % (1 << 64): r["root"] % (1 << 64) for r in components(simhash.links(nodes, hot_size).select('a', 'b')).collect()}
     return {v: got.get(v, v) for v in values}
 
 
@@ -101,3 +101,22 @@ def test_odd_rows(spark, tmp_path):
     assert {f for _, f, _ in got} == {f"{brute_print(t):016x}" for _, t in rows}
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "e" / "documents.parquet"))
     assert simhash.op10_simhash(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    base = [[word() for _ in range(200)] for _ in range(60)]
+    rows, copies = [], set()
+    for i, w in enumerate(base):
+        rows.append((i * 10, " ".join(w), "k"))
+        for c in range(1, 3):
+            x = list(w)
+            x[rng.randrange(200)] = word()
+            rows.append((i * 10 + c, " ".join(x), "k"))
+            copies.add(i * 10 + c)
+    rows += [(9001, None, "k"), (9002, "", "k"), (None, "a text of its own without an id", "k"), (9003, "one", "k"), (9004, "two", "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root string")
+    kept = [r["doc_id"] for r in simhash.near_deduplicate(docs).collect()]
+    assert sorted(x for x in kept if x is not None) == sorted({r[0] for r in rows if r[0] is not None} - copies - {9002}) and None in kept
+    assert simhash.near_deduplicate(docs.limit(0)).count() == 0
