@@ -1 +1,15 @@
+"""Queries: every operator applied to the supplied tables, with its SQL."""
 
+from __future__ import annotations
+
+import importlib
+
+#: Modules that register queries.
+MODULES = [
+    "interval_queries",
+]
+
+
+def load() -> None:
+    for name in MODULES:
+        importlib.import_module(f"lapwing.plans.{name}")
