@@ -7,6 +7,7 @@ import importlib
 #: Modules that register queries.
 MODULES = [
     "interval_queries",
+    "scalar_queries",
 ]
 
 
