@@ -32,6 +32,8 @@ from lapwing.llm._units import UnitTable
 RANK_FILE = "byte_bpe_50k.tiktoken"
 #: First of the 256 characters that stand for bytes: letters all, none is space.
 _BYTE_CHAR = 0x100
+#: Units that a worker remembers.
+_UNITS = 300_000
 _TO_CHARS = {b: chr(_BYTE_CHAR + b) for b in range(256)}
 
 
@@ -93,7 +95,7 @@ def model_proto(ranks: dict[bytes, int]) -> tuple[bytes, list[int]]:
 
 
 class ByteBPE:
-    """Encoder and decoder of one rank file."""
+    """Encoder of one rank file."""
 
     def __init__(self, path: str, pattern: str | None = None):
         import numpy as np
@@ -105,12 +107,11 @@ class ByteBPE:
         self._sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self._rank = np.array(of_piece, dtype=np.int32)
         self._find = regex.compile(pattern or _pattern()).findall
-        self._bytes = {r: t for t, r in ranks.items()}
         tokens = sorted(ranks, key=ranks.get)
         alone = self._sp.encode([mapped(t) for t in tokens], out_type=int, num_threads=1)
         self.unreached = {t: ranks[t] for t, ids in zip(tokens, alone) if len(ids) != 1}
         self._tokens: dict[str, bytes] = {}
-        self._table = UnitTable(self._code)
+        self._table = UnitTable(self._code, _UNITS)
 
     def _code(self, strings: list[str]) -> Iterable[bytes]:
         """Ids of strings, as little-endian 32-bit integers."""
@@ -126,7 +127,7 @@ class ByteBPE:
             whole = self.unreached.get(b)
             known[t] = (rank[ids] if whole is None else np.array([whole], np.int32)).astype("<i4").tobytes()
         out = [b"".join(map(known.__getitem__, f)) for f in found]
-        if len(known) > 200_000:
+        if len(known) > 150_000:
             known.clear()
         return out
 
@@ -134,8 +135,37 @@ class ByteBPE:
         """Ids of each text, as little-endian 32-bit integers."""
         return [b"".join(parts) for parts in self._table(texts)]
 
+
+class Decoder:
+    """The inverse mapping: ids to bytes, without the model."""
+
+    def __init__(self, path: str):
+        import numpy as np
+
+        ranks = read_ranks(path)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self._len = np.array([len(t) for t in tokens], np.int64)
+        self._at = np.cumsum(self._len) - self._len
+        self._data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode_all(self, ids, ends) -> list[bytes]:
+        """Bytes of texts whose ids lie end to end; ``ends``: where each ends."""
+        import numpy as np
+
+        size = self._len[ids]
+        stop = np.cumsum(size)
+        total = int(stop[-1]) if len(stop) else 0
+        out = self._data[np.repeat(self._at[ids] - (stop - size), size) + np.arange(total)].tobytes()
+        cuts = np.concatenate([[0], stop])[ends].tolist()
+        return [out[i:j] for i, j in zip([0, *cuts], cuts)]
+
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self._bytes.__getitem__, ids))
+        import numpy as np
+
+        ids = np.fromiter(ids, np.int64)
+        return self.decode_all(ids, np.array([len(ids)]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -144,6 +174,11 @@ def coder(path: str) -> ByteBPE:
     return ByteBPE(path)
 
 
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
+
 def _ids_array(parts: list[bytes]):
     import numpy as np
     import pyarrow as pa
@@ -153,7 +188,7 @@ def _ids_array(parts: list[bytes]):
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat, pa.int32()))
 
 
-def _rows(batches: Iterator, column: str, cost, max_cost: int = 8 << 20) -> Iterator:
+def _rows(batches: Iterator, column: str, cost, max_cost: int = 2 << 20) -> Iterator:
     """Slices of batches, of bounded size."""
     for batch in batches:
         sizes = cost(batch.column(batch.schema.get_field_index(column)))
@@ -191,13 +226,15 @@ def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank
     from pyspark.sql import types as T
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        bpe = coder(tokenizer_path(rank_file))
+        inverse = decoder(tokenizer_path(rank_file))
         for part in _rows(batches, ids_col, lambda c: [8 * (n or 0) for n in pc.list_value_length(c).to_pylist()]):
             column = part.column(part.schema.get_field_index(ids_col))
-            texts = [bpe.decode(x or ()) for x in column.to_pylist()]
+            size = np.array([n or 0 for n in pc.list_value_length(column).to_pylist()], np.int64)
+            texts = inverse.decode_all(column.flatten().to_numpy(zero_copy_only=False), np.cumsum(size))
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], [*names, out_col])
 
