@@ -8,6 +8,7 @@ import importlib
 MODULES = [
     "interval_queries",
     "scalar_queries",
+    "text_queries",
 ]
 
 
