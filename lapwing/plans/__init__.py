@@ -9,6 +9,7 @@ MODULES = [
     "interval_queries",
     "scalar_queries",
     "text_queries",
+    "join_queries",
 ]
 
 
