@@ -10,6 +10,7 @@ MODULES = [
     "scalar_queries",
     "text_queries",
     "join_queries",
+    "report_queries",
 ]
 
 
