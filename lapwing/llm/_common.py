@@ -78,3 +78,29 @@ def batches_of(
             group, cost = [], 0
     if group:
         yield group
+
+
+#: Rows that Spark sends a Python worker at a time.  Texts are long: the default
+#: of 10,000 rows holds tens of megabytes on either side of the socket.
+ARROW_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Have the session send smaller batches to Python, if it sends larger ones."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= ARROW_ROWS:
+        conf.set(key, str(ARROW_ROWS))
+    return df
+
+
+def give_back() -> None:
+    """Return a worker's freed memory to the system; workers outlive their tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

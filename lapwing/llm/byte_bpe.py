@@ -26,7 +26,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import batches_of, read_table, tokenizer_path
+from lapwing.llm._common import batches_of, give_back, read_table, small_batches, tokenizer_path
 from lapwing.llm._units import UnitTable
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -194,6 +194,7 @@ def _rows(batches: Iterator, column: str, cost, max_cost: int = 2 << 20) -> Iter
         sizes = cost(batch.column(batch.schema.get_field_index(column)))
         for group in batches_of(zip(sizes, range(batch.num_rows)), max_cost=max_cost):
             yield batch.slice(group[0], len(group))
+    give_back()
 
 
 def _text_cost(column) -> list[int]:
@@ -218,7 +219,7 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", rank_f
     keep = [i for i, c in enumerate(docs.columns) if c != out_col]
     names = [docs.columns[i] for i in keep]
     schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank_file: str = RANK_FILE) -> DataFrame:
@@ -241,7 +242,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank
     keep = [i for i, c in enumerate(rows.columns) if c != out_col]
     names = [rows.columns[i] for i in keep]
     schema = T.StructType([f for f in rows.schema.fields if f.name != out_col] + [T.StructField(out_col, T.BinaryType())])
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 def digests(rows: DataFrame) -> DataFrame:

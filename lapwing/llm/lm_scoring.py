@@ -34,13 +34,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import id_fold, materialize, read_table
+from lapwing.llm._common import give_back, id_fold, materialize, read_table, small_batches
 from lapwing.llm.byte_bpe import _rows, _text_cost
-from lapwing.llm.token_store import _NOT_WHITE, _OF_BYTE, _power_tables
+from lapwing.llm.token_store import _NOT_WHITE, piece_codes
 
 #: A state's count at which its arcs and its failure arc weigh the same.
 PRIOR = 2000.0
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 #: At most this many parts of the hash space.
 MAX_PARTS = 1 << 16
 _END, _BEGIN = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -61,9 +61,7 @@ def token_hashes(texts: list[str | None]):
     word = _NOT_WHITE[data]
     begin = np.flatnonzero(word[1:] & ~word[:-1]) + 1
     end = np.flatnonzero(word[:-1] & ~word[1:]) + 1
-    up, down = _power_tables(1 << max(20, int(len(data)).bit_length()))
-    total = np.cumsum(_OF_BYTE[data] * up[: len(data)], dtype=np.uint64)
-    code = (total[end - 1] - total[begin - 1]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    code = piece_codes(data, begin, end)
     cuts = np.searchsorted(begin, np.cumsum([len(x) + 1 for x in raw]))
     return np.insert(_mixed(code), cuts, _END), np.diff(np.concatenate([[0], cuts])) + 1
 
@@ -111,7 +109,7 @@ def _blocks(block_tokens: int):
 
         types = {"b": pa.int64(), "doc_ids": pa.list_(pa.int64()), "held_out": pa.list_(pa.bool_()), "n_train": pa.int64()}
         schema = pa.schema([(c.split()[0], types.get(c.split()[0], pa.binary())) for c in BLOCK_SCHEMA.split(", ")])
-        for piece in _rows(batches, "text", _text_cost, 4 * block_tokens):
+        for piece in _rows(batches, "text", _text_cost, min(1 << 20, 4 * block_tokens)):
             code, size = token_hashes(piece.column(1).to_pylist())
             ids += piece.column(0).to_pylist()
             held += piece.column(2).to_pylist()
@@ -163,7 +161,7 @@ def _requests(parts: int):
         import pyarrow as pa
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
                 block, out = _Block(row), []
                 cuts = [_cuts(h, parts) for h, _ in block.grams]
                 for p in range(parts):
@@ -173,6 +171,7 @@ def _requests(parts: int):
                         cells[f"{name}_count"] = _zip(count[c[p] : c[p + 1]], "<u4")
                     out.append(cells)
                 yield pa.RecordBatch.from_pylist(out, schema=pa.schema([(n, pa.int64() if n in "bp" else pa.binary()) for n in out[0]]))
+        give_back()
 
     return run
 
@@ -185,13 +184,14 @@ def _grouped(batches: Iterator, column: int) -> Iterator[list[dict]]:
     rows: list[dict] = []
     for batch in batches:
         name = batch.schema.names[column]
-        for row in batch.to_pylist():
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
             if rows and rows[0][name] != row[name]:
                 yield rows
                 rows = []
             rows.append(row)
     if rows:
         yield rows
+    give_back()
 
 
 def _answers(batches):
@@ -251,7 +251,7 @@ def _scored(n: int, v: int, prior: float):
 
 def score(docs: DataFrame, prior: float = PRIOR, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Scores of ``docs`` (``doc_id, text, held_out, training``), one row each."""
-    blocks = materialize(docs.select("doc_id", "text", "held_out", "training").mapInArrow(_blocks(block_tokens), BLOCK_SCHEMA), "blocks")
+    blocks = materialize(small_batches(docs).select("doc_id", "text", "held_out", "training").mapInArrow(_blocks(block_tokens), BLOCK_SCHEMA), "blocks")
     seen = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n_train"), F.lit(0)).alias("n")).first()
     parts = min(max(seen["blocks"], 1), MAX_PARTS)
     asked = blocks.mapInArrow(_requests(parts), _REQUEST).repartition(parts, "p").sortWithinPartitions("p", "b")

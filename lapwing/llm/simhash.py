@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import materialize, read_table
+from lapwing.llm._common import give_back, materialize, read_table, small_batches
 from lapwing.llm.components import components
 
 MAX_BITS = 3
@@ -215,6 +215,7 @@ def _compared(batches: Iterator, hot_size: int) -> Iterator:
     if key is not None and not hot and held > 1:
         close(group, key[0], key[1])
     yield from out.batches(0)
+    give_back()
 
 
 def links(prints: DataFrame, hot_size: int = HOT) -> DataFrame:
@@ -241,7 +242,7 @@ def links(prints: DataFrame, hot_size: int = HOT) -> DataFrame:
 
 def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, fp, component_id``."""
-    prints = materialize(docs.select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "prints")
+    prints = materialize(small_batches(docs).select(F.col(id_col).alias("doc_id"), fingerprint(F.col(text_col), shingle).alias("fp")), "prints")
     nodes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = materialize(components(links(nodes.select("fp")).select("a", "b")), "roots")
     named = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -279,7 +280,7 @@ def word_prints(docs: DataFrame, seeds: int, text_col: str = "text", id_col: str
             yield pa.RecordBatch.from_arrays([*[piece.column(i) for i in range(3)], fps], ["rid", "doc_id", "text_hash", "fps"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(7)).alias("text_hash"), text.alias("text"))
+    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(7)).alias("text_hash"), text.alias("text"))
     return rows.mapInArrow(run, "rid long, doc_id long, text_hash long, fps array<long>")
 
 

@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import read_table, text_or_empty, tokenizer_path
+from lapwing.llm._common import read_table, small_batches, text_or_empty, tokenizer_path
 from lapwing.llm._units import UnitTable
 from lapwing.llm.byte_bpe import _pattern, _rows, _text_cost
 
@@ -109,7 +109,7 @@ def count_tokens(docs: DataFrame, text_col: str = "text", out_col: str = "n_toke
     keep = [i for i, c in enumerate(docs.columns) if c != out_col]
     names = [docs.columns[i] for i in keep]
     schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.LongType())])
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -24,8 +24,8 @@ shard and reads back no document.
 from __future__ import annotations
 
 import os
+import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,26 +35,37 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import materialize, read_table, tokenizer_path
+from lapwing.llm._common import give_back, materialize, read_table, small_batches, tokenizer_path
 from lapwing.llm.byte_bpe import _rows, _text_cost
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: A shard is closed when it holds this many ids.
-SHARD_IDS = 8_000_000
+SHARD_IDS = 4_000_000
 #: Pairs rarer than this are not worth a rule.
 MIN_COUNT = 12
 _MAGIC = b"RPG1"
 #: Bytes that are not ASCII white space.
 _NOT_WHITE = np.ones(256, bool)
 _NOT_WHITE[[9, 10, 11, 12, 13, 32]] = False
+#: Kinds of bytes: white space, letters (ASCII, and whatever is not), digits, others.
+_KIND = np.full(256, 3, np.uint8)
+_KIND[~_NOT_WHITE] = 0
+_KIND[0x30:0x3A] = 2
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+#: What makes a word one that only the library cuts: apostrophes (contractions),
+#: control characters, added tokens' spelling, and characters outside ASCII that
+#: are not sure to be letters which neither lower-casing nor composition cuts:
+#: all but U+00C0..U+027F, without the two signs and the dotted capital I in it.
+_ODD = re.compile(rb"['\x00-\x1f\x7f\xc2\xca-\xff]|<\||\xc3[\x97\xb7]|\xc4\xb0").search
+_ODD_BYTE = np.zeros(256, bool)
+_ODD_BYTE[[0x27, 0x7F, 0xC2, *(set(range(0x20)) - {9, 10, 11, 12, 13}), *range(0xCA, 0x100)]] = True
+_ODD_PAIRS = ((0x3C, 0x7C), (0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
 #: Fixed random odd multipliers, one a byte value.
 _OF_BYTE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PRIME = 0x9E3779B97F4A7C55
-#: The tokenizer's own pre-token pattern, on lower-case text.
-_PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRIME, _OTHER_PRIME = 0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F
 _LINE = 500
-_TABLE_LIMIT = 600_000
+_TABLE_LIMIT = 400_000
 
 
 # --- grammar ---------------------------------------------------------------
@@ -164,7 +175,7 @@ def compress(words, flat, offsets, doc_words, first_new: int, minimum: int = MIN
     doc_ends = ends[np.cumsum(doc_words) - 1]
     stop = np.zeros(len(symbols), bool)
     stop[doc_ends - 1] = True
-    symbols, stop, _ = _passes(symbols, stop, None, _thresholds(len(symbols), minimum)[-2:], first_new, rules)
+    symbols, stop, _ = _passes(symbols, stop, None, [minimum], first_new, rules)
     at = np.concatenate([[0], np.flatnonzero(stop) + 1])
     return symbols, at, np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
 
@@ -276,129 +287,128 @@ def _powers(base: int, n: int):
     return np.cumprod(x, dtype=np.uint64)
 
 
-@lru_cache(maxsize=2)
-def _power_tables(n: int):
-    return _powers(_PRIME, n), _powers(pow(_PRIME, -1, 1 << 64), n)
-
+@lru_cache(maxsize=4)
+def _power_tables(n: int, prime: int = _PRIME):
+    return _powers(prime, n), _powers(pow(prime, -1, 1 << 64), n)
 
-def _distinct(data, begin, end):
-    """Which words ``data[begin:end]`` are equal: ``(index, first)`` such that
-    word ``k`` equals word ``first[index[k]]``.
 
-    Words are compared by a 64-bit hash, then byte by byte with the first of
-    their hash; a batch with a collision is told apart by a dictionary."""
-    if not len(begin):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    up, down = _power_tables(1 << max(20, int(len(data)).bit_length()))
+def piece_codes(data, begin, end, prime: int = _PRIME):
+    """64-bit hashes of the pieces ``data[begin:end]``."""
+    up, down = _power_tables(1 << max(20, int(len(data)).bit_length()), prime)
     total = np.cumsum(_OF_BYTE[data] * up[: len(data)], dtype=np.uint64)
-    size = end - begin
-    code = (total[end - 1] - total[begin - 1]) * down[begin] + size.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-    _, first, index = np.unique(code, return_index=True, return_inverse=True)
-    twin = begin[first[index]]
-    same = bool((size == size[first[index]]).all())
-    if same:
-        inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-        same = bool((data[np.repeat(begin, size) + inside] == data[np.repeat(twin, size) + inside]).all())
-    if not same:
-        raw, seen = data.tobytes(), {}
-        words = [raw[i:j] for i, j in zip(begin.tolist(), end.tolist())]
-        index = np.array([seen.setdefault(w, len(seen)) for w in words], np.int64)
-        first = np.unique(index, return_index=True)[1]
-    return index, first
+    return (total[end - 1] - total[begin - 1]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+
+
+def _pieces(data):
+    """Where the pieces of space-led UTF-8 bytes begin and end.
+
+    A piece is a run of letters, a digit or a run of other characters: the
+    tokenizer's own pre-tokens.  A word with something odd in it stays whole."""
+    kind = _KIND[data]
+    inside = kind != 0
+    starts = np.zeros(len(data), bool)
+    starts[1:] = inside[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))
+    odd = _ODD_BYTE[data]
+    for a, b in _ODD_PAIRS:
+        odd[:-1] |= (data[:-1] == a) & (data[1:] == b)
+    odd = np.flatnonzero(odd)
+    if len(odd):
+        first = np.zeros(len(data), bool)
+        first[1:] = inside[1:] & ~inside[:-1]
+        word = np.cumsum(first)
+        whole = np.zeros(int(word[-1]) + 1, bool)
+        whole[word[odd]] = True
+        starts &= first | ~whole[word]
+    begin = np.flatnonzero(starts)
+    return begin, np.flatnonzero(inside[:-1] & (~inside[1:] | starts[1:])) + 1
 
 
 class Words:
     """Table of the words seen by a worker and their ids.
 
     White space separates pre-tokens and leaves no trace in the ids, so a text's
-    ids are its words' ids, one after the other."""
+    ids are its pieces' ids, one after the other.  Pieces are known by two
+    independent 64-bit hashes; row 0 is the end marker."""
 
     def __init__(self, path: str):
-        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._lib = Tokenizer.from_file(path)
         self._lib.no_truncation()
         self._lib.no_padding()
-        self._find = regex.compile(_PRE_TOKEN).findall
         vocab = self._lib.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocab.values()) + 1, bool)
         self._ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.base = max(self._lib.get_vocab_size(with_added_tokens=True), END_ID + 1)
-        self._reset({}, [])
-
-    def _reset(self, index: dict[bytes, int], ids: list[bytes]) -> None:
-        self.index, self._ids = index, ids
-        if not ids:
-            self.index[b" "] = 0  # the end marker; no word holds a space
-            self._ids.append(struct.pack("<i", END_ID))
+        self._ids = [struct.pack("<i", END_ID)]
+        self._seen = np.zeros(0)
+        #: Sorted hashes, the second hashes, and the rows.
+        self._hash, self._check, self._row = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def rows(self, texts: list[str | None]) -> list:
-        """Rows of the table for the words of each text, the end marker last."""
+        """Rows of the table for the pieces of each text, the end marker last."""
         raw = [(t or "").encode() for t in texts]
         # One space before each text, so that none of its words runs on.
-        data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
-        if b"<|" not in data.tobytes():  # an added token's spelling keeps its case
+        text = b" " + b" ".join(raw) + b" "
+        data = np.frombuffer(text, np.uint8)
+        if b"<|" not in text:  # an added token's spelling keeps its case
             data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
-        word = _NOT_WHITE[data]
-        begin = np.flatnonzero(word[1:] & ~word[:-1]) + 1
-        end = np.flatnonzero(word[:-1] & ~word[1:]) + 1
-        index, first = _distinct(data, begin, end)
-        known = np.empty(len(first), np.int64)
-        plain, lo, hi = data.tobytes(), begin[first].tolist(), end[first].tolist()
-        new = []
-        for k, w in enumerate([plain[i:j] for i, j in zip(lo, hi)]):
-            row = self.index.get(w)
-            if row is None:
-                new.append((k, w))
-                row = -1
-            known[k] = row
-        for (k, w), row in zip(new, self._added([w.decode() for _, w in new])):
-            known[k] = row
+        begin, end = _pieces(data)
+        code, check = piece_codes(data, begin, end), piece_codes(data, begin, end, _OTHER_PRIME)
+        hashes, first, index = np.unique(code, return_index=True, return_inverse=True)
+        if not (check == check[first[index]]).all():  # two pieces of one hash: both hashes tell them apart
+            code = code ^ (check * np.uint64(0x9E3779B97F4A7C15))
+            hashes, first, index = np.unique(code, return_index=True, return_inverse=True)
+        known = self._rows_of(hashes, check[first], data, begin[first], end[first])
         rows = known[index]
         edges = np.cumsum([len(x) + 1 for x in raw])
         cuts = np.searchsorted(begin, edges).tolist()
         return [np.append(rows[i:j], 0) for i, j in zip([0, *cuts], cuts)]
 
+    def _rows_of(self, hashes, check, data, begin, end):
+        at = np.searchsorted(self._hash, hashes)
+        near = np.minimum(at, max(len(self._hash) - 1, 0))
+        found = (self._hash[near] == hashes) & (self._check[near] == check) if len(self._hash) else np.zeros(len(hashes), bool)
+        out = np.empty(len(hashes), np.int64)
+        out[found] = self._row[near[found]]
+        new = np.flatnonzero(~found)
+        plain = data.tobytes() if len(new) else b""
+        out[new] = self._added([plain[i:j].decode() for i, j in zip(begin[new].tolist(), end[new].tolist())])
+        self._hash = np.insert(self._hash, at[new], hashes[new])
+        self._check = np.insert(self._check, at[new], check[new])
+        self._row = np.insert(self._row, at[new], out[new])
+        return out
+
     def _added(self, words: list[str]) -> list[int]:
         """Put new words into the table; their rows."""
-        numbers = [(w, self._pre_tokens(w)) for w in words]
-        coded = chain(self._each([w for w, n in numbers if not n]), self._together([x for x in numbers if x[1]]))
+        odd = [w for w in words if _ODD(w.encode())]
+        coded = chain(self._each(odd), self._together(list(set(words).difference(odd))))
         at = {}
         for w, ids in coded:
-            at[w] = self.index[w.encode()] = len(self._ids)
+            at[w] = len(self._ids)
             self._ids.append(ids)
         return [at[w] for w in words]
 
-    def _pre_tokens(self, word: str) -> int:
-        """Pre-tokens of a word, or 0 where only the library can tell."""
-        if word.isascii() and word.isalpha() and word.islower():
-            return 1
-        if "<|" in word or word.lower() != word or not unicodedata.is_normalized("NFC", word):
-            return 0
-        return 1 if word.isalpha() else len(self._find(word))
-
     def _each(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
         for w, e in zip(words, self._lib.encode_batch_fast(words, add_special_tokens=False)):
             yield w, np.array(e.ids, dtype="<i4").tobytes()
 
-    def _together(self, numbers: list[tuple[str, int]]) -> Iterator[tuple[str, bytes]]:
-        """Ids of words whose number of pre-tokens is known, as lines of many.
+    def _together(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids of words of one pre-token each, encoded as lines of many.
 
         The last id of every pre-token is one that ends a word, so the ids can be
         told apart.  A line whose numbers disagree is encoded word by word."""
-        lines = [numbers[i : i + _LINE] for i in range(0, len(numbers), _LINE)]
-        coded = self._lib.encode_batch_fast([" ".join([w for w, _ in x]) for x in lines], add_special_tokens=False)
+        lines = [words[i : i + _LINE] for i in range(0, len(words), _LINE)]
+        coded = self._lib.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)
         for line, e in zip(lines, coded):
             ids = np.array(e.ids, dtype="<i4")
             cuts = np.flatnonzero(self._ends[ids]) + 1
-            last = np.cumsum([n for _, n in line])
-            if len(cuts) != last[-1] or cuts[-1] != len(ids):
-                yield from self._each([w for w, _ in line])
+            if len(cuts) != len(line) or cuts[-1] != len(ids):
+                yield from self._each(line)
                 continue
             raw, at = ids.tobytes(), 0
-            for (w, _), end in zip(line, (4 * cuts[last - 1]).tolist()):
+            for w, end in zip(line, (4 * cuts).tolist()):
                 yield w, raw[at:end]
                 at = end
 
@@ -407,13 +417,22 @@ class Words:
         return flat, np.concatenate([[0], np.cumsum([len(x) // 4 for x in self._ids])]).astype(np.int64)
 
     def shrink(self, counts) -> None:
-        """After a shard, forget the words that it had but once or twice."""
-        if len(self._ids) > _TABLE_LIMIT // 2:
-            kept = {w: r for w, r in self.index.items() if r > 0 and r < len(counts) and counts[r] > 2}
-            ids = [self._ids[0], *[self._ids[r] for r in kept.values()]]
-            index = {w: k for k, w in enumerate(kept, 1)}
-            index[b" "] = 0
-            self._reset(index, ids)
+        """After a shard: where there are too many words, the rarest are forgotten.
+        What words counted in earlier shards fades, but is not lost at once."""
+        seen = np.zeros(len(self._ids))
+        seen[: len(self._seen)] = self._seen * 0.7
+        seen[: len(counts)] += counts
+        self._seen = seen
+        if len(self._ids) > _TABLE_LIMIT:
+            seen[0] = np.inf
+            keep = np.sort(np.argpartition(-seen, _TABLE_LIMIT * 5 // 8)[: _TABLE_LIMIT * 5 // 8])
+            place = np.full(len(seen), -1, np.int64)
+            place[keep] = np.arange(len(keep))
+            stays = place[self._row] >= 0
+            self._hash, self._check, self._row = self._hash[stays], self._check[stays], place[self._row[stays]]
+            self._ids = [self._ids[r] for r in keep.tolist()]
+            self._seen = seen[keep]
+            self._seen[0] = 0
 
 
 @lru_cache(maxsize=2)
@@ -443,12 +462,12 @@ def _shards(tokenizer: str, shard_ids: int):
             cols += [pa.array([docs], pa.list_(pa.int64())), pa.array([payload], pa.binary())]
             return n, pa.RecordBatch.from_arrays(cols, ["part", "block", "before", "n_ids", "doc_ids", "payload"])
 
-        for piece in _rows(batches, "text", _text_cost, min(8 << 20, shard_ids)):
+        for piece in _rows(batches, "text", _text_cost, min(3 << 20, shard_ids)):
             docs += piece.column(0).to_pylist()
             got = table.rows(piece.column(1).to_pylist())
             rows += got
             held += sum(map(len, got))
-            if held * 2 >= shard_ids:  # a word has two to three ids
+            if held * 2 >= shard_ids:  # a piece has about two ids
                 n, out = close()
                 yield out
                 block, before, docs, rows, held = block + 1, before + n, [], [], 0
@@ -460,7 +479,7 @@ def _shards(tokenizer: str, shard_ids: int):
 
 def write(docs: DataFrame, tokenizer: str = TOKENIZER, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the ids of ``docs`` (``doc_id``, ``text``) and return the shards."""
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = small_batches(docs).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return materialize(ordered.mapInArrow(_shards(tokenizer, shard_ids), SHARD_SCHEMA), "token-shards")
 
 
@@ -488,6 +507,7 @@ def read(shards: DataFrame, with_ids: bool = True) -> DataFrame:
                     before += len(ids)
                 if not with_ids:
                     yield make(part, out, None, pa)
+        give_back()
 
     def make(part, columns, ids, pa):
         arrays = [pa.array([part] * len(columns[0]), pa.int32()), *[pa.array(c, pa.int64()) for c in columns]]

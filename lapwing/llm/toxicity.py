@@ -35,7 +35,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import id_fold, read_table
+from lapwing.llm._common import id_fold, read_table, small_batches
 from lapwing.llm.byte_bpe import _rows, _text_cost
 
 TOXIC_SAMPLE = 2000
@@ -283,7 +283,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
     keep = [i for i, c in enumerate(docs.columns) if c != out_col]
     names = [docs.columns[i] for i in keep]
     schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return small_batches(docs).mapInArrow(run, schema)
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
