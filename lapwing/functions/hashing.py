@@ -26,8 +26,8 @@ def strict_url(url: Column, hosts: list[str]) -> Column:
     """https, no ``www.``, single slashes, no trailing punctuation; NULL for hosts
     that are not of ``hosts`` or below them."""
     raw = F.rtrim(F.trim(url), F.lit(".,;!?)]}"))
-    host = F.regexp_replace(F.lower(F.regexp_extract(raw, r"^https?://([^/?#:]*)", 1)), r"^www\.", "")
-    path = F.regexp_replace(F.regexp_extract(raw, r"^https?://[^/?#]*([^?#]*)", 1), "/{2,}", "/")
+    host = F.regexp_replace(F.lower(F.regexp_extract(raw, r"(?i)^https?://([^/?#:]*)", 1)), r"^www\.", "")
+    path = F.regexp_replace(F.regexp_extract(raw, r"(?i)^https?://[^/?#]*([^?#]*)", 1), "/{2,}", "/")
     own = host.rlike("^(?:.*\\.)?(?:" + "|".join(h.replace(".", "\\.") for h in hosts) + ")$")
     return F.when(own, F.concat(F.lit("https://"), host, F.rtrim(F.when(path == "", "/").otherwise(path), F.lit("/")), F.lit("/")))
 

@@ -11,6 +11,7 @@ MODULES = [
     "text_queries",
     "join_queries",
     "report_queries",
+    "io_queries",
 ]
 
 
