@@ -12,6 +12,7 @@ MODULES = [
     "join_queries",
     "report_queries",
     "io_queries",
+    "cover_queries",
 ]
 
 
