@@ -110,3 +110,77 @@ def replace_where_refined(lines: DataFrame, fresh: DataFrame, keys: Sequence[str
     kept = lines.join(has, [*keys, "ord"], "left_anti").unionByName(lines.where(F.col("end") - F.col("start") <= longest).join(has, [*keys, "ord"], "left_semi"))
     long = lines.where(F.col("end") - F.col("start") > longest).select(*keys, F.col("ord").alias("of"))
     return kept.unionByName(fresh.join(long, [*keys, "of"], "left_semi").select(*lines.columns))
+
+
+def reference_rects(clusters: DataFrame, detections: DataFrame, keys: Sequence[str], size: int, margin: int, lane: Column) -> DataFrame:
+    """Per cluster (``index, start, end`` and its own box) the envelope of the lane
+    detections within ``margin`` of its time; its own box where there are none."""
+    points = detections.where(lane).withColumns({"start": F.col("at"), "end": F.col("at")})
+    pairs = iv.bucketed_pairs(clusters, points, keys, size, margin).where((F.col("r_at") >= F.col("start") - margin) & (F.col("r_at") <= F.col("end") + margin))
+    seen = pairs.groupBy(*keys, "index").agg(F.min("r_x1").alias("_x1"), F.min("r_y1").alias("_y1"), F.max("r_x2").alias("_x2"), F.max("r_y2").alias("_y2"), F.count(F.lit(1)).alias("support"))
+    rows = clusters.join(seen, [*keys, "index"], "left")
+    return rows.select(*keys, "index", "start", "end", *[F.coalesce(f"_{c}", c).alias(c) for c in ("x1", "y1", "x2", "y2")], F.coalesce("support", F.lit(0)).alias("support"))
+
+
+def event_rects(events: DataFrame, detections: DataFrame, keys: Sequence[str], size: int, guard: int, gate: int, grow: int, width: int, height: int) -> DataFrame:
+    """Per event the box to cover: the envelope of the band detections active
+    within ``guard`` that meet the event's reference box grown by ``gate``, grown by
+    ``grow``; the reference box itself where none do."""
+    active = iv.bucketed_pairs(events, detections.where(geo.in_band(Box(), width, height)).withColumns({"start": F.col("at"), "end": F.col("at")}), keys, size, guard)
+    active = active.where((F.col("r_at") >= F.col("start") - guard) & (F.col("r_at") <= F.col("end") + guard))
+    near = (F.col("r_x1") < F.col("x2") + gate) & (F.col("r_x2") > F.col("x1") - gate) & (F.col("r_y1") < F.col("y2") + gate) & (F.col("r_y2") > F.col("y1") - gate)
+    u = active.where(near).groupBy(*keys, "index").agg(F.min("r_x1").alias("_x1"), F.min("r_y1").alias("_y1"), F.max("r_x2").alias("_x2"), F.max("r_y2").alias("_y2"), F.count(F.lit(1)).alias("accepted"))
+    rows = events.join(u, [*keys, "index"], "left").withColumns({c: F.coalesce(f"_{c}", c) for c in ("x1", "y1", "x2", "y2")})
+    d = geo.dilate(Box(), grow, grow, width, height)
+    return rows.select(*keys, "index", d.alias("d"), F.coalesce("accepted", F.lit(0)).alias("accepted")).select(*keys, "index", "d.*", "accepted")
+
+
+def watermark_rects(spans: DataFrame, keys: Sequence[str], fixed: Sequence[tuple[int, int, int, int]], share: float = 0.65) -> DataFrame:
+    """Rectangles of a whole-video cluster: the spans' and the configured ones,
+    without duplicates."""
+    from lapwing.operators.rectangles import dedupe_rects
+
+    given = F.explode(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("x1", "y1", "x2", "y2"), b)]) for b in fixed]))
+    extra = spans.select(*keys).distinct().select(*keys, given.alias("b")).select(*keys, "b.*")
+    return dedupe_rects(spans.select(*keys, "x1", "y1", "x2", "y2").unionByName(extra), keys, share)
+
+
+def mask_pipeline(detections: DataFrame, key: str, fps: float, width: int, height: int) -> DataFrame:
+    """Detections to subtitle clusters: confirmed, suppressed, tracked to spans,
+    filtered by geometry, merged in time.  ``detections``: ``frame, ord, detector,
+    score, cjk`` and a box."""
+    from lapwing.operators import folds
+    from lapwing.operators.rectangles import suppress
+
+    good = confirm_detections(detections, [key, "frame"], "a", "b", width, height).where("reason = ''")
+    good = suppress(good.select(key, "frame", "ord", "score", "x1", "y1", "x2", "y2"), [key, "frame"], F.col("score"), 0.55)
+
+    def fold(rows: list[dict]) -> list[dict]:
+        spans = folds.merge_spans(folds.spans(rows, fps, 0.25, max(2, round(fps * 0.6))))
+        return [{**s, "start": int(s["start"] * 1000), "end": int(s["end"] * 1000)} for s in spans]
+
+    spans = folds.fold_per_key(good, [key], fold, "start long, end long, x1 int, y1 int, x2 int, y2 int, samples long", ["frame", "y1", "x1", "ord"])
+    spans = spans.withColumn("reason", fl.span_reason(Box(), F.col("samples"), width, height, height // 2, 1)).where("reason = ''")
+    return segment_clusters(spans, [key], 500, 250, 1500, F.lit(1 << 40))
+
+
+def cue_pipeline(cues: DataFrame, clusters: DataFrame, keys: Sequence[str], size: int, reach: int, least: int) -> DataFrame:
+    """Cues gated to their clusters (cut to the best one, short ones dropped) and
+    the clusters left without a cue, to be read again: ``origin`` tells which."""
+    best = jn.match_clusters(cues, clusters, keys, size, reach)
+    gated = best.select(*keys, "ord", F.col("r_index").alias("index"), F.greatest("start", "r_start").alias("start"), F.least("end", "r_end").alias("end"))
+    kept = gated.where(F.col("end") - F.col("start") >= least).withColumn("origin", F.lit("cue"))
+    missed = clusters.join(kept.select(*keys, "index").distinct(), [*keys, "index"], "left_anti")
+    again = missed.select(*keys, F.lit(-1).cast("bigint").alias("ord"), "index", "start", "end", F.lit("retry").alias("origin"))
+    return kept.unionByName(again)
+
+
+def mix_manifest(schedules: DataFrame, keys: Sequence[str], stems: Sequence[str], video: Column) -> DataFrame:
+    """Per video whether the schedule is a chain (each row's ``previous_offset`` is
+    the actual one), ends in the video, and has exactly the named stems."""
+    w = Window.partitionBy(*keys).orderBy("ord")
+    rows = schedules.withColumn("_chain", F.coalesce(F.col("previous_offset") == F.lag("offset").over(w), F.col("previous_offset").isNull()))
+    want = F.array(*[F.lit(s) for s in sorted(stems)])
+    return rows.groupBy(*keys).agg(
+        F.bool_and("_chain").alias("chained"), (F.max("offset") <= F.max(video) - 1).alias("inside"), (F.sort_array(F.collect_set("stem")) == want).alias("stems"), F.max("offset").alias("last")
+    )

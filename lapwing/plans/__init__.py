@@ -13,6 +13,7 @@ MODULES = [
     "report_queries",
     "io_queries",
     "cover_queries",
+    "more_queries",
 ]
 
 

@@ -25,9 +25,11 @@ def existing(wanted: DataFrame, catalog: DataFrame, uri: str = "uri") -> DataFra
     return wanted.join(catalog.select(uri).distinct().withColumn("hit", F.lit(True)), uri, "left").withColumn("hit", F.coalesce("hit", F.lit(False)))
 
 
-def json_documents(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Documents with an explicit schema; a byte order mark is no error."""
-    return spark.read.schema(schema).option("multiLine", True).option("encoding", "UTF-8").json(path)
+def json_documents(spark: SparkSession, path: str, schema: T.StructType | str, lines: bool = False) -> DataFrame:
+    """JSON documents with an explicit schema, one a file or (``lines``) one a
+    line; a byte order mark in front is no error."""
+    raw = spark.read.text(path, wholetext=not lines)
+    return raw.select(F.from_json(F.regexp_replace("value", "^\ufeff", ""), schema).alias("d")).select("d.*")
 
 
 def strict_json(texts: DataFrame, column: str, schema: T.StructType) -> DataFrame:
