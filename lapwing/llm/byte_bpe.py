@@ -245,6 +245,30 @@ def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank
     return small_batches(rows).mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, text_col: str = "text", rank_file: str = RANK_FILE) -> DataFrame:
+    """``docs`` with ``ids`` and ``decoded``: :func:`encode` and :func:`decode` in
+    one pass, so that the ids go to Python and back once."""
+    from pyspark.sql import types as T
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        path = tokenizer_path(rank_file)
+        bpe, inverse = coder(path), decoder(path)
+        for part in _rows(batches, text_col, _text_cost):
+            coded = bpe.encode(part.column(part.schema.get_field_index(text_col)).to_pylist())
+            ends = np.cumsum([len(c) // 4 for c in coded])
+            texts = inverse.decode_all(np.frombuffer(b"".join(coded), "<i4"), ends)
+            columns = [part.column(i) for i in keep]
+            yield pa.RecordBatch.from_arrays([*columns, _ids_array(coded), pa.array(texts, pa.binary())], [*names, "ids", "decoded"])
+
+    keep = [i for i, c in enumerate(docs.columns) if c not in ("ids", "decoded")]
+    names = [docs.columns[i] for i in keep]
+    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
+    return small_batches(docs).mapInArrow(run, schema)
+
+
 def digests(rows: DataFrame) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded, decoded rows."""
     return rows.select(
@@ -257,4 +281,4 @@ def digests(rows: DataFrame) -> DataFrame:
 
 def op3_byte_bpe(spark, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digests(decode(encode(docs).select("doc_id", "ids")))
+    return digests(round_trip(docs))

@@ -71,6 +71,13 @@ def test_queries(spark, tmp_path):
         assert got[(i, len((t or "").encode()))] == (n, n > 1024)
 
 
+def test_encode_then_decode(spark):
+    docs = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").selectExpr("*", "1 as ids")
+    two = byte_bpe.decode(byte_bpe.encode(docs)).orderBy("doc_id").collect()
+    one = byte_bpe.round_trip(docs).orderBy("doc_id").collect()
+    assert two == one and [bytes(r["decoded"]) for r in one] == [(t or "").encode() for t in ODD]
+
+
 def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert byte_bpe.op3_byte_bpe(spark, str(tmp_path)).count() == 0
