@@ -233,3 +233,24 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_SQL_WORDS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), '" + _UPPER + "', '" + _LOWER + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+OP4_SQL = f"""
+WITH low AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+it AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark),
+itn AS (SELECT item_id, w, least({WINDOW}, len(w)) AS n FROM it WHERE len(w) > 0),
+g AS (SELECT DISTINCT n, item_id, array_to_string(w[i:i + n - 1], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM itn)),
+ns AS (SELECT DISTINCT n FROM g),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+       FROM (SELECT doc_id, w, n, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM low, ns)),
+h AS (SELECT dw.doc_id, dw.i, dw.n, g.item_id FROM dw JOIN g ON g.n = dw.n AND g.gram = dw.gram),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT low.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM low LEFT JOIN hit ON hit.doc_id = low.doc_id LEFT JOIN found ON found.doc_id = low.doc_id
+"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lapwing.llm.byte_bpe import op3_byte_bpe
-from lapwing.llm.decontaminate import op4_decontamination
+from lapwing.llm.decontaminate import OP4_SQL, op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from lapwing.llm.lm_scoring import op5_lm_scoring
 from lapwing.llm.pii import op8_pii
@@ -29,5 +29,6 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_decontamination": OP4_SQL,
         "op6_exact_dedup": OP6_SQL,
     }
