@@ -344,11 +344,18 @@ def r02_r03_fixed_rate(spark, sf_dir):
     return sc.fixed_rate(_clips(spark, sf_dir), ["key"], "start", "clip", HOUR, "n").select("key", F.col("n").cast("long").alias("n"), "onset", "offset", "lag")
 
 
-@query("r01_r02_samples")
+@query(
+    "r01_r02_samples",
+    _CLIPS + """, d AS (SELECT key, n, start // 1000000 AS anchor, ord % 300 AS don, ord % 300 + clip // 1000000 AS doff FROM c),
+    q AS (SELECT key, n, anchor, don, doff, greatest(0, anchor - don) AS placement FROM d WHERE n = 0
+      UNION ALL SELECT d.key, d.n, d.anchor, d.don, d.doff, greatest(0, greatest(d.anchor, q.placement + q.doff + 2205) - d.don) FROM q JOIN d ON d.key = q.key AND d.n = q.n + 1),
+    f AS (SELECT key, n, placement, placement + don AS actual_onset, placement + doff AS actual_offset, placement + don - anchor AS lag FROM q), g AS (SELECT *, lag <= 26460 AND actual_offset <= 1999999999 AS fits FROM f)
+    SELECT *, bool_and(fits) OVER (PARTITION BY key ORDER BY n ROWS UNBOUNDED PRECEDING) AS valid FROM g""",
+)
 def r01_r02_samples(spark, sf_dir):
     rows = _clips(spark, sf_dir).select("key", "n", F.expr("start div 1000000").alias("anchor"), F.expr("ord % 300").alias("detected_onset"), F.expr("ord % 300 + clip div 1000000").alias("detected_offset"))
     out = sc.sample_schedule(rows, ["key"], 2205, 26460, F.lit(2_000_000_000), "n")
-    return out.select("key", "n", "placement", "actual_onset", "actual_offset", "lag", "fits", "valid")
+    return out.select("key", F.col("n").cast("long").alias("n"), "placement", "actual_onset", "actual_offset", "lag", "fits", "valid")
 
 
 @query(

@@ -73,12 +73,24 @@ def x05_phrases(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", F.explode(tx.phrases(F.col("text"))).alias("phrase"))
 
 
-@query("x06_two_lines")
+_BREAKS = """WITH t AS (SELECT conv_id, turn, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM conversations), w AS (SELECT *, string_split(t, ' ') AS w FROM t),
+    c AS (SELECT conv_id, turn, i, array_to_string(w[1:i], ' ') AS l, array_to_string(w[i + 1:len(w)], ' ') AS r FROM (SELECT *, unnest(range(1, len(w))) AS i FROM w)),
+    b AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY {rank}) AS n FROM c)
+    SELECT t.conv_id, t.turn, {out} FROM t LEFT JOIN (SELECT * FROM b WHERE n = 1) b ON b.conv_id = t.conv_id AND b.turn = t.turn"""
+
+
+@query("x06_two_lines", _BREAKS.format(rank="abs(length(l) - length(r)), i", out="CASE WHEN length(t) <= 38 OR l IS NULL THEN t ELSE l || '\\N' || r END AS lines"))
 def x06_two_lines(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", F.array_join(tx.two_lines(F.col("text")), "\\N").alias("lines"))
 
 
-@query("x07_x08_balanced_lines")
+@query(
+    "x07_x08_balanced_lines",
+    _BREAKS.format(
+        rank="greatest(0, length(l) - 24) + greatest(0, length(r) - 24), abs(length(l) - length(r)), l, r",
+        out="CASE WHEN length(t) <= 24 OR l IS NULL THEN t ELSE l || '|' || r END AS lines, CASE WHEN length(t) <= 24 OR l IS NULL THEN 1 ELSE 2 END AS line_count",
+    ),
+)
 def x07_x08_balanced_lines(spark, sf_dir):
     lines = tx.balanced_lines(F.col("text"))
     return _turns(spark, sf_dir).select("conv_id", "turn", F.array_join(lines, "|").alias("lines"), F.size(lines).alias("line_count"))
@@ -205,7 +217,12 @@ def h01_h05_url_keys(spark, sf_dir):
     )
 
 
-@query("h04_f13_strict_url")
+@query(
+    "h04_f13_strict_url",
+    r"""WITH r AS (SELECT page_id, rtrim(trim(url), '.,;!?)]}') AS raw FROM pages),
+    h AS (SELECT page_id, regexp_replace(lower(regexp_extract(raw, '(?i)^https?://([^/?#:]*)', 1)), '^www[.]', '') AS host, regexp_replace(regexp_extract(raw, '(?i)^https?://[^/?#]*([^?#]*)', 1), '/{2,}', '/', 'g') AS path FROM r)
+    SELECT page_id, CASE WHEN regexp_matches(host, '^(.*[.])?(example[.]com|example[.]org)$') THEN 'https://' || host || rtrim(CASE WHEN path = '' THEN '/' ELSE path END, '/') || '/' END AS url FROM h""",
+)
 def h04_f13_strict_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", hs.strict_url(F.col("url"), ["example.com", "example.org"]).alias("url"))
 
@@ -270,7 +287,11 @@ def n09_first_url(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", ns.first_url(F.col("html")).alias("first_url"))
 
 
-@query("n04_n06_typed_props")
+@query(
+    "n04_n06_typed_props",
+    """WITH k AS (SELECT event_id, props, unnest(json_keys(props)) AS field FROM events), v AS (SELECT event_id, field, json_extract_string(props, '$."' || field || '"') AS value FROM k)
+    SELECT event_id, field, coalesce(value, '') AS value, coalesce(TRY_CAST(value AS DOUBLE), 0.0) AS number FROM v""",
+)
 def n04_n06_typed_props(spark, sf_dir):
     """Props as a map and as typed fields with defaults."""
     m = F.from_json("props", "map<string,string>")
