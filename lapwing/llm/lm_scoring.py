@@ -39,7 +39,7 @@ from lapwing.llm.byte_bpe import _rows, _text_cost
 from lapwing.llm.token_store import _NOT_WHITE, piece_codes
 
 #: A state's count at which its arcs and its failure arc weigh the same.
-PRIOR = 2000.0
+PRIOR = 500.0
 BLOCK_TOKENS = 1_000_000
 #: At most this many parts of the hash space.
 MAX_PARTS = 1 << 16
