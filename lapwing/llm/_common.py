@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -29,6 +31,26 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Folders that this driver has written.
+_written: list[str] = []
+
+
+@atexit.register
+def _drop_local() -> None:
+    for path in _written:
+        local = path.removeprefix("file://")
+        if os.path.isabs(local):
+            shutil.rmtree(local, ignore_errors=True)
+
+
+def drop_materialized(spark: SparkSession) -> None:
+    """Delete what :func:`materialize` has written; DataFrames that read it end."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the written table.
 
@@ -37,6 +59,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lapwing/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

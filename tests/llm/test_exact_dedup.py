@@ -74,3 +74,15 @@ def test_components(spark):
     df = spark.createDataFrame([*edges, (None, 3), (7, None)], "a long, b long")
     assert {r["node"]: r["root"] for r in components(df).collect()} == want
     assert components(df.limit(0)).count() == 0
+
+
+def test_written_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from lapwing.llm import _common
+
+    df = _common.materialize(spark.range(3), "test")
+    where = Path(_common._written[-1].removeprefix("file:"))
+    assert df.count() == 3 and where.is_dir()
+    _common.drop_materialized(spark)
+    assert not where.exists() and not _common._written
