@@ -7,6 +7,7 @@ from lapwing.llm.decontaminate import OP4_SQL, op4_decontamination
 from lapwing.llm.exact_dedup import OP6_SQL, op6_exact_dedup
 from lapwing.llm.lm_scoring import op5_lm_scoring
 from lapwing.llm.pii import op8_pii
+from lapwing.llm.quality import op2_quality
 from lapwing.llm.simhash import op10_simhash
 from lapwing.llm.token_counts import op7_token_counts
 from lapwing.llm.token_store import op9_token_store
@@ -16,6 +17,7 @@ from lapwing.llm.toxicity import op1_toxicity
 def queries() -> dict:
     return {
         "op1_toxicity": op1_toxicity,
+        "op2_quality": op2_quality,
         "op3_byte_bpe": op3_byte_bpe,
         "op4_decontamination": op4_decontamination,
         "op5_lm_scoring": op5_lm_scoring,
