@@ -13,7 +13,8 @@ same sample.  The cut is found by histograms of the keys, each refining the bin
 that holds the ``k``-th, never by a sort of all rows; equal keys at the cut are all
 kept.
 
-Counts cover all texts; what reaches the driver is the table of bucket counts,
+Counts of the raw model cover all texts, the target's at most ``TARGET_SAMPLE``
+good labelled ones; what reaches the driver is the table of bucket counts,
 whose size is fixed.  Labels are learnt from rows whose crc32(id) mod 5 is not 0.
 
 Defined results: null and empty texts have no n-gram and log weight 0; null ids are
@@ -36,6 +37,9 @@ from lapwing.llm.token_store import _NOT_WHITE, piece_codes
 BUCKETS = 1 << 16
 LENGTH = 64.0
 SMOOTHING = 1.0
+#: Good labelled texts that the target's model is fitted on, at most; chosen by a
+#: hash of their ids, which are broadcast, so that no text moves.
+TARGET_SAMPLE = 16_000
 _BINS = 4096
 
 
@@ -110,7 +114,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     fold = id_fold(F.col("doc_id"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") > 0).alias("label"))
     learnt = known.where(id_fold(F.col("doc_id")) != 0)
-    marked = docs.select("doc_id", "text").join(learnt, "doc_id", "left")
+    target = learnt.where("label").orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("quality")), "doc_id").limit(TARGET_SAMPLE)
+    marked = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left")
     ratio = log_ratios(marked.select("text", F.coalesce("label", F.lit(False)).alias("good")))
     if share is None:
         share = learnt.agg(F.avg(F.col("label").cast("double")).alias("s")).first()["s"]
