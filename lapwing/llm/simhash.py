@@ -33,7 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwing.llm._common import give_back, materialize, read_table, small_batches
@@ -252,61 +252,243 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shi
     return prints.join(final, "fp").select("doc_id", "fp", "component_id")
 
 
-def word_prints(docs: DataFrame, seeds: int, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``rid, doc_id, text_hash, fps``: ``seeds`` independent fingerprints of each
-    text's distinct words.
+# --- near duplicates by exact similarity ------------------------------------
 
-    Words change less than shingles when a text is edited: where one word in fifty
-    is another, a fingerprint of five-word shingles moves by ten bits, one of
-    distinct words by four."""
-    from lapwing.llm.byte_bpe import _rows, _text_cost
+#: Words of a shingle, and the Jaccard similarity from which two texts are copies.
+NEAR_WORDS = 5
+NEAR_FROM = 0.8
+#: Texts whose shingles are counted to tell the frequent ones, and how many of
+#: those are remembered.
+_SAMPLE, _FREQUENT = 8000, 100_000
+_EMPTY = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
+    """The distinct word shingles of each text, as sorted hashes; a shorter text
+    is one shingle, and so is one without words."""
     from lapwing.llm.lm_scoring import _mixed, token_hashes
 
+    codes, size = token_hashes(texts)
+    turned = [_mixed(codes + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(words)]
+    chain = np.zeros(len(codes), np.uint64)
+    for i in range(words):
+        chain[: max(0, len(codes) - i)] = _mixed(chain[: max(0, len(codes) - i)] * np.uint64(3) + turned[i][i:])
+    out = []
+    for n, end in zip((size - 1).tolist(), (np.cumsum(size) - 1).tolist()):
+        if n >= words:
+            out.append(np.unique(chain[end - n : end - words + 1]))
+            continue
+        one = np.full(1, _EMPTY)
+        for i in range(n):
+            one = _mixed(one * np.uint64(3) + turned[i][end - n + i : end - n + i + 1])
+        out.append(one)
+    return out
+
+
+def _least_common(size, threshold: float):
+    """Shingles that a set of this size shares with any set that similar."""
+    return np.ceil(threshold * size - 1e-9).astype(np.int64)
+
+
+def _frequent_shingles(texts: DataFrame):
+    """Sorted hashes of frequent shingles and their counts in a sample of texts.
+    They only order the shingles: any order finds the same pairs."""
+    every = max(1, texts.count() // _SAMPLE)
+
     def run(batches):
         import pyarrow as pa
 
+        from lapwing.llm.byte_bpe import _rows, _text_cost
+
+        def counted():
+            h, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.astype(np.int64))], ["h", "c"])
+
+        held, have = [], 0
         for piece in _rows(batches, "text", _text_cost):
-            codes, size = token_hashes(piece.column(3).to_pylist())
-            prints = np.zeros((len(size), seeds), np.uint64)
-            for k, end in enumerate(np.cumsum(size).tolist()):
-                words = np.unique(codes[end - size[k] : end - 1])  # without the end
-                for s in range(seeds):
-                    h = _mixed(words + np.uint64(s * 0x9E3779B97F4A7C15 % (1 << 64)))
-                    ones = np.zeros(64, np.int64)
-                    for at in range(0, len(h), 4096):
-                        ones += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-                    prints[k, s] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
-            fps = pa.ListArray.from_arrays(pa.array(np.arange(0, seeds * len(size) + 1, seeds, np.int32)), pa.array(prints.reshape(-1).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([*[piece.column(i) for i in range(3)], fps], ["rid", "doc_id", "text_hash", "fps"])
+            sets = shingle_sets(piece.column(1).to_pylist())
+            held, have = held + sets, have + sum(map(len, sets))
+            if have >= 1 << 20:
+                yield counted()
+                held, have = [], 0
+        if held:
+            yield counted()
+
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(every)) == 0).mapInArrow(run, "h long, c long")
+    top = some.groupBy("h").agg(F.sum("c").alias("c")).where("c >= 3").orderBy(F.desc("c"), "h").limit(_FREQUENT).collect()
+    h = np.array([r["h"] for r in top], np.int64).view(np.uint64)
+    order = np.argsort(h)
+    return h[order], np.array([r["c"] for r in top], np.int64)[order]
+
+
+def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """``node, doc_id, n, prefix``: how many shingles a text has, and its rarest
+    ones, so many that two texts of that similarity have one in common."""
+    frequent, count = _frequent_shingles(texts)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from lapwing.llm.byte_bpe import _rows, _text_cost
+
+        for piece in _rows(batches, "text", _text_cost):
+            sets = shingle_sets(piece.column(1).to_pylist())
+            size = np.array([len(x) for x in sets], np.int64)
+            length = size - _least_common(size, threshold) + 1
+            every = np.concatenate(sets)
+            rank = np.zeros(len(every), np.int64)
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, every), len(frequent) - 1)
+                rank = np.where(frequent[at] == every, count[at], 0)
+            text = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((every, rank, text))
+            place = np.arange(len(every)) - np.repeat(np.cumsum(size) - size, size)
+            first = every[order[place < np.repeat(length, size)]]
+            cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+            prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix], ["node", "doc_id", "n", "prefix"])
+
+    return texts.mapInArrow(run, "node long, doc_id long, n long, prefix array<long>")
+
+
+def _sets_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, shingles`` of the texts named."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        from lapwing.llm.byte_bpe import _rows, _text_cost
+
+        for piece in _rows(batches, "text", _text_cost):
+            sets = [x.tobytes() for x in shingle_sets(piece.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    named = texts.select("node", "text").join(nodes, "node", "left_semi")
+    return named.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.xxhash64(text, F.lit(7)).alias("text_hash"), text.alias("text"))
-    return rows.mapInArrow(run, "rid long, doc_id long, text_hash long, fps array<long>")
 
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``a, b`` whose sets are that similar.  A part of the pairs gets
+    each set that it needs once, however many of its pairs need it."""
+    pairs = materialize(pairs, "pairs")
+    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
+    sets = _sets_of(texts, nodes)
+    parts = 1 + nodes.count() // 4000 + pairs.count() // 100_000
+    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)))
+    need = dealt.select("part", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+    need = need.select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "shingles")
+    both = need.unionByName(dealt.select("part", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("shingles")))
 
-def near_deduplicate(docs: DataFrame, seeds: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    def run(batches):
+        import pyarrow as pa
+
+        now, held = None, {}
+        for batch in batches:
+            part, kind, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            if not len(part):
+                continue
+            change = np.flatnonzero((part[1:] != part[:-1]) | (kind[1:] != kind[:-1]) | (b[1:] != b[:-1])) + 1
+            found = []
+            for lo, hi in zip([0, *change.tolist()], [*change.tolist(), len(part)]):
+                if part[lo] != now:
+                    now, held = part[lo], {}
+                if kind[lo] == 0:
+                    for node, raw in zip(a[lo:hi].tolist(), batch.column(4).slice(lo, hi - lo).to_pylist()):
+                        held[node] = np.frombuffer(raw, "<u8")
+                    continue
+                one, others = held[int(b[lo])], [held[x] for x in a[lo:hi].tolist()]
+                size = np.array([len(x) for x in others])
+                every = np.concatenate(others)
+                hit = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+                found.append(lo + np.flatnonzero(common >= threshold * (size + len(one) - common) - 1e-9))
+            if found:
+                k = np.concatenate(found)
+                yield pa.RecordBatch.from_arrays([pa.array(a[k]), pa.array(b[k])], ["a", "b"])
+        give_back()
+
+    rows = both.repartition("part").sortWithinPartitions("part", "kind", "b")
+    return materialize(rows.mapInArrow(run, "a long, b long"), "similar")
+
+
+def _pairs_across(threshold: float):
+    """Rows ``h, node, n, root, pos``, sorted by ``h, n``, to the pairs of one ``h``
+    that have different roots and whose sizes, and shingles from ``h`` on, allow the
+    similarity if ``h`` is the first that they share."""
+
+    def pairs(node, n, root, pos):
+        import pyarrow as pa
+
+        out, have = [], 0
+        stop = np.searchsorted(n, np.floor(n / threshold + 1e-6), "right")
+        for i in range(len(node) - 1):
+            rest = slice(i + 1, int(stop[i]))
+            most = np.minimum(n[i] - pos[i], n[rest] - pos[rest])
+            fits = most >= (n[i] + n[rest]) * (threshold / (1 + threshold)) - 1e-6
+            other = node[rest][(root[rest] != root[i]) & fits]
+            out.append((np.minimum(node[i], other), np.maximum(node[i], other)))
+            have += len(other)
+            if have and (have >= 100_000 or i == len(node) - 2):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], ["a", "b"])
+                out, have = [], 0
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            held = rows if held is None else np.concatenate([held, rows], axis=1)
+            cuts = np.flatnonzero(held[0, 1:] != held[0, :-1]) + 1
+            for lo, hi in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
+                yield from pairs(*held[1:, lo:hi])
+            if len(cuts):
+                held = held[:, cuts[-1] :]
+        if held is not None:
+            yield from pairs(*held[1:])
+        give_back()
+
+    return run
+
+
+def near_links(texts: DataFrame, prefixes: DataFrame, threshold: float) -> DataFrame:
+    """Links ``a, b`` between the ``node`` of texts of at least that similarity,
+    which connect all that such links connect.
+
+    Similar texts meet at a shingle of both their prefixes.  There each is first
+    compared with one of them; that joins large groups of copies.  Then every pair
+    that no link found so far connects is compared."""
+    bucket = Window.partitionBy("h")
+    shared = prefixes.select(F.posexplode("prefix").alias("pos", "h"), "node", "n")
+    shared = shared.withColumns({"first": F.min(F.struct("node", "n", "pos")).over(bucket), "last": F.max("node").over(bucket)})
+    shared = materialize(shared.where("first.node != last").drop("last"), "shared")
+    most = F.least(F.col("n") - F.col("pos"), F.col("first.n") - F.col("first.pos"))
+    fits = most >= (F.col("n") + F.col("first.n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
+    star = shared.where((F.col("node") != F.col("first.node")) & fits).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+    links = _verified(star, texts, threshold)
+    groups = materialize(components(links), "star-groups")
+    rooted = shared.join(groups, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"), F.col("pos").cast("long").alias("pos"))
+    rooted = rooted.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).where("low != high")
+    rest = rooted.select("h", "node", "n", "root", "pos").repartition("h").sortWithinPartitions("h", "n")
+    across = rest.mapInArrow(_pairs_across(threshold), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
+    return links.unionByName(_verified(across, texts, threshold))
+
+
+def near_deduplicate(docs: DataFrame, threshold: float = NEAR_FROM, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near duplicates the one
     with the smallest id (nulls last), with all its columns.
 
-    Two texts link if one of their ``seeds`` word fingerprints differs in at most
-    3 bits; a group is what links connect.  At a five-word-shingle similarity of
-    0.8 a single fingerprint finds about two links in five; with four, the
-    closer copies are found all but surely and most at the limit."""
-    rows = materialize(word_prints(docs, seeds, text_col, id_col), "word-prints")
-    long = rows.select("rid", F.posexplode("fps").alias("seed", "fp"))
-    nodes = materialize(long.groupBy("seed", "fp").agg(F.min("rid").alias("node")), "nodes")
-    found = materialize(links(nodes.select("seed", "fp")), "links")
-    a, b = (nodes.select("seed", F.col("fp").alias(c), F.col("node").alias(f"n{c}")) for c in "ab")
-    across = found.join(a, ["seed", "a"]).join(b, ["seed", "b"]).select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    same = long.join(nodes, ["seed", "fp"]).where("rid != node").select(F.col("rid").alias("a"), F.col("node").alias("b"))
-    groups = materialize(components(across.unionByName(same)), "groups")
-    member = rows.select("rid", "doc_id", "text_hash").join(groups.withColumnRenamed("node", "rid"), "rid")
-    member = materialize(member, "members")
-    first = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "rid")).alias("first"))
-    marked = member.join(materialize(first, "first"), "root").select("doc_id", "text_hash", (F.col("rid") == F.col("first.rid")).alias("stays"))
+    Two texts link if the Jaccard similarity of their sets of five-word shingles
+    is at least ``threshold``; a group is what links connect.  No such pair is
+    missed and no other is linked, but for collisions of 64-bit hashes."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = small_batches(docs).select(F.xxhash64(text, F.lit(7)).alias("node"), text.alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    prefixes = materialize(_prefixes(texts, threshold), "prefixes")
+    groups = materialize(components(near_links(texts, prefixes, threshold)), "groups")
+    member = materialize(prefixes.select("node", "doc_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
+    first = member.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "node")).alias("first"), F.count(F.lit(1)).alias("size"))
+    marked = member.join(materialize(first.where("size > 1"), "first"), "root")
     # A row that agrees with its group's first one in id and text stays with it.
-    gone = marked.groupBy("doc_id", "text_hash").agg(F.max("stays").alias("stays")).where("not stays")
-    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("text_hash").alias("_gone_hash")), "gone")
+    gone = marked.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node"))))
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("node").alias("_gone_hash")).distinct(), "gone")
     left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(7)).alias("_hash"))
     on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash"))
     return left.join(gone, on, "left_anti").select("row.*")
