@@ -379,10 +379,10 @@ def n12_to_video(spark, sf_dir):
 
 @query("x04_nested_text")
 def x04_nested_text(spark, sf_dir):
-    """Tidied strings inside arrays and structs, shape kept."""
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    tidy = F.transform("turns", lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), tx.tidy_punctuation(t["text"]).alias("text")))
-    return rows.select("conv_id", F.sha2(F.to_json(tidy), 256).alias("digest"))
+    """Normalised strings inside arrays and structs, shape kept."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.normal_text(F.col("role")).alias("role"), tx.normal_text(F.col("text")).alias("text"))
+    rows = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    return rows.select("conv_id", F.sha2(F.to_json("turns"), 256).alias("digest"))
 
 
 @query("x11_x13_hashtags")

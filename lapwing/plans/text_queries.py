@@ -65,6 +65,12 @@ def x03_tidy_text(spark, sf_dir):
     return d.select("doc_id", F.sha2(tx.tidy_punctuation(tx.rename(F.trim("text"), {"the in": "the IN"})), 256).alias("tidy"))
 
 
+@query("x03_normal_text")
+def x03_normal_text(spark, sf_dir):
+    """Every document, with the six name replacements."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(tx.normal_text(F.col("text")), 256).alias("tidy"))
+
+
 @query(
     "x05_phrases",
     """SELECT conv_id, turn, unnest(list_filter(list_transform(string_split_regex(trim(regexp_replace(text, '\\s+', ' ', 'g')), '[,，、;；:：.!。！？?…]+'), lambda p: trim(p)), lambda p: p <> '')) AS phrase FROM conversations""",
