@@ -11,18 +11,23 @@ without expanding what stands before.
 Pairs inside words are replaced first, on the shard's distinct words weighted by
 how often they occur (the same replacements as on the whole sequence, at a
 fraction of the work); pairs across words follow on the sequence itself.  Several
-pairs are replaced in one pass: where two meet, the more frequent one wins.
+pairs are replaced in one pass: where two meet, the more frequent one wins.  Both go
+down to ``MIN_COUNT`` and end only when no pair occurs that often; a pair has one
+rule, whenever it is replaced.
 
 The file format is one binary payload a shard, in Parquet files that Spark writes
 to and reads from shared storage, so that a lost executor costs a retry only.
 
 Defined results: null is empty text, which is the end id alone; rows with equal
-ids are ordered by their texts; null ids come first; an empty table writes no
-shard and reads back no document.
+ids are ordered by their texts; null ids come first, and ids keep their type; an
+empty table writes no shard and reads back no document; only ``doc_id`` and ``text``
+are looked at, whatever other columns are called.  A tokenizer that normalises or
+cuts texts by other rules than the default one is refused.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -34,8 +39,10 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from lapwing.llm._common import give_back, materialize, read_table, small_batches, tokenizer_path
+from lapwing.llm._words import NOT_WHITE, codes, equal, same
 from lapwing.llm.byte_bpe import _rows, _text_cost
 
 TOKENIZER = "word_bpe_49k.json"
@@ -45,12 +52,9 @@ SHARD_IDS = 4_000_000
 #: Pairs rarer than this are not worth a rule.
 MIN_COUNT = 12
 _MAGIC = b"RPG1"
-#: Bytes that are not ASCII white space.
-_NOT_WHITE = np.ones(256, bool)
-_NOT_WHITE[[9, 10, 11, 12, 13, 32]] = False
 #: Kinds of bytes: white space, letters (ASCII, and whatever is not), digits, others.
 _KIND = np.full(256, 3, np.uint8)
-_KIND[~_NOT_WHITE] = 0
+_KIND[~NOT_WHITE] = 0
 _KIND[0x30:0x3A] = 2
 _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
 #: What makes a word one that only the library cuts: apostrophes (contractions),
@@ -61,9 +65,8 @@ _ODD = re.compile(rb"['\x00-\x1f\x7f\xc2\xca-\xff]|<\||\xc3[\x97\xb7]|\xc4\xb0")
 _ODD_BYTE = np.zeros(256, bool)
 _ODD_BYTE[[0x27, 0x7F, 0xC2, *(set(range(0x20)) - {9, 10, 11, 12, 13}), *range(0xCA, 0x100)]] = True
 _ODD_PAIRS = ((0x3C, 0x7C), (0xC3, 0x97), (0xC3, 0xB7), (0xC4, 0xB0))
-#: Fixed random odd multipliers, one a byte value.
-_OF_BYTE = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PRIME, _OTHER_PRIME = 0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F
+#: The pre-tokens of the tokenizers that can be used.
+_PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LINE = 500
 _TABLE_LIMIT = 400_000
 
@@ -71,68 +74,114 @@ _TABLE_LIMIT = 400_000
 # --- grammar ---------------------------------------------------------------
 
 
-def _replace(seq, stop, weight, threshold, first_new):
-    """One pass: pairs of at least ``threshold`` weighted occurrences become new
-    symbols.  ``stop`` marks symbols that end a word or document.  Returns the
-    shorter sequence, the positions kept, and the rules."""
-    none = np.empty((0, 2), np.int64)
-    if len(seq) < 2:
-        return seq, None, none
-    code = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:].astype(np.uint64)
-    # Hashed counts are upper bounds: they leave few positions to count exactly.
-    bucket = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int64)
-    bucket[stop[:-1]] = 1 << 21
-    w = None if weight is None else weight[:-1]
-    rough = np.bincount(bucket, weights=w, minlength=(1 << 21) + 1)
-    rough[1 << 21] = 0
-    at = np.flatnonzero(rough[bucket] >= threshold)
-    if not len(at):
-        return seq, None, none
-    pairs, inverse = np.unique(code[at], return_inverse=True)
-    counts = np.bincount(inverse, weights=None if w is None else w[at])
-    good = counts >= threshold
-    at, inverse = at[good[inverse]], inverse[good[inverse]]
-    if not len(at):
-        return seq, None, none
-    rank = np.zeros(len(seq) + 1, dtype=np.int64)
-    # Distinct priorities, by count and then by pair; 0 stands for no pair.
-    order = np.argsort(np.argsort(counts, kind="stable"), kind="stable") + 1
-    rank[at + 1] = order[inverse]
-    # A place wins over its neighbours; in a run of one pair every other one does.
-    p = at + 1
-    same = (rank[p] == rank[p - 1]) & (rank[p] > 0)
-    run = np.arange(len(p)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(p))))
-    wins = (rank[p] >= np.where(same, 0, rank[p - 1])) & (rank[p] >= rank[np.minimum(p + 1, len(seq))]) & (run % 2 == 0)
-    at, inverse = at[wins], inverse[wins]
-    # Runs can leave a winner right after another: the earlier one stays.
-    if len(at) > 1:
-        clear = np.concatenate([[True], at[1:] - at[:-1] > 1])
-        at, inverse = at[clear], inverse[clear]
-    used, name = np.unique(inverse, return_inverse=True)
-    seq = seq.copy()
-    seq[at] = first_new + name
-    keep = np.ones(len(seq), dtype=bool)
-    keep[at + 1] = False
-    rules = np.stack([(pairs[used] >> np.uint64(32)).astype(np.int64), (pairs[used] & np.uint64(0xFFFFFFFF)).astype(np.int64)], axis=1)
-    moved = stop.copy()
-    moved[at] |= stop[at + 1]
-    return seq[keep], (keep, moved[keep]), rules
-
-
-def _passes(seq, stop, weight, thresholds, first_new, rules):
-    for threshold in thresholds:
+class _Rules:
+    """The rules so far; a pair has one symbol, whenever it is replaced."""
+
+    def __init__(self, first: int):
+        self.first = first
+        self._symbol: dict[int, int] = {}
+
+    def symbols_of(self, pairs):
+        """Symbols of pairs (as 64-bit codes), with new rules where there is none."""
+        symbol = self._symbol
+        return np.array([symbol.setdefault(p, self.first + len(symbol)) for p in pairs.tolist()], np.int64)
+
+    def table(self):
+        codes = np.fromiter(self._symbol, np.uint64, len(self._symbol))
+        return np.stack([(codes >> np.uint64(32)).astype(np.int64), (codes & np.uint64(0xFFFFFFFF)).astype(np.int64)], axis=1)
+
+
+class _Sequence:
+    """A sequence of symbols under replacement, linked: a replaced pair keeps its
+    first place, and its second is passed over until :meth:`compact`.
+
+    ``stop`` marks symbols that end a word or document; no pair goes beyond one.
+    ``weight``: how often each place occurs, or None for once."""
+
+    def __init__(self, symbols, stop, weight):
+        self.symbols, self.stop, self.weight = symbols, stop, weight
+        self._link()
+
+    def _link(self):
+        n = len(self.symbols)
+        self._after, self._before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+        self._rank, self._live = np.zeros(n + 2, np.int32), np.ones(n, bool)
+
+    def compact(self):
+        if not self._live.all():
+            self.symbols, self.stop = self.symbols[self._live], self.stop[self._live]
+            self.weight = None if self.weight is None else self.weight[self._live]
+            self._link()
+
+    def _rough(self, threshold):
+        """Places of pairs that can be frequent, by hashed counts: upper bounds."""
+        self.compact()
+        if len(self.symbols) < 2:
+            return np.empty(0, np.int64)
+        code = (self.symbols[:-1].astype(np.uint64) << np.uint64(32)) | self.symbols[1:].astype(np.uint64)
+        bucket = ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(43)).astype(np.int64)
+        bucket[self.stop[:-1]] = 1 << 21
+        rough = np.bincount(bucket, weights=None if self.weight is None else self.weight[:-1], minlength=(1 << 21) + 1)
+        rough[1 << 21] = 0
+        return np.flatnonzero((rough >= threshold)[bucket])
+
+    def _counted(self, at, threshold):
+        """The frequent pairs at places ``at``: pairs, counts, and the places and
+        pairs' numbers of all their occurrences there."""
+        code = (self.symbols[at].astype(np.uint64) << np.uint64(32)) | self.symbols[self._after[at]].astype(np.uint64)
+        pairs, inverse = np.unique(code, return_inverse=True)
+        counts = np.bincount(inverse, weights=None if self.weight is None else self.weight[at])
+        good = counts >= threshold
+        here = good[inverse]
+        return pairs[good], counts[good], at[here], (np.cumsum(good) - 1)[inverse[here]]
+
+    def shorten(self, threshold: int, rules: _Rules, last: bool) -> None:
+        """Replace pairs of at least ``threshold`` occurrences.
+
+        After a pass only places beside a replacement, and those that lost to a
+        neighbour, are counted again.  At the ``last`` level all places are when
+        these hold no frequent pair, and it ends only when none is left."""
         while True:
-            before = len(seq)
-            seq, moved, new = _replace(seq, stop, weight, threshold, first_new)
-            if not len(new):
-                break
-            rules.append(new)
-            first_new += len(new)
-            keep, stop = moved
-            weight = None if weight is None else weight[keep]
-            if before - len(seq) < 0.08 * before:  # what is left to win at this level is little
-                break
-    return seq, stop, first_new
+            at, done = self._rough(threshold), True
+            while len(at):
+                pairs, counts, at, inverse = self._counted(at, threshold)
+                if not len(at):
+                    break
+                at, done = self._replaced(pairs, counts, at, inverse, rules), not last
+            if done:
+                self.compact()
+                return
+
+    def _replaced(self, pairs, counts, at, inverse, rules: _Rules):
+        """One pass over the frequent pairs; the places to count next."""
+        rank, after, before = self._rank, self._after, self._before
+        # Distinct priorities, by count and then by pair; 0 stands for no pair.
+        order = np.argsort(np.argsort(counts, kind="stable"), kind="stable") + 1
+        mine = order[inverse]
+        rank[at] = mine
+        # A place wins over its neighbours; in a run of one pair every other one does.
+        left = rank[before[at]]  # the last entry, before the first place, stays 0
+        same = mine == left
+        run = np.arange(len(at)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(at))))
+        wins = (mine >= np.where(same, 0, left)) & (mine >= rank[after[at]]) & (run % 2 == 0)
+        rank[at] = 0
+        won, name = at[wins], inverse[wins]
+        # Runs can leave a winner right after another: the earlier one stays.
+        if len(won) > 1:
+            clear = np.concatenate([[True], won[1:] != after[won[:-1]]])
+            won, name = won[clear], name[clear]
+        used, name = np.unique(name, return_inverse=True)
+        self.symbols[won] = rules.symbols_of(pairs[used])[name]
+        gone = after[won]
+        self.stop[won] |= self.stop[gone]
+        self._live[gone] = False
+        after[won] = after[gone]
+        later = after[won] < len(before)
+        before[after[won[later]]] = won[later]
+        first = before[won]
+        next_ = np.sort(np.concatenate([at, first[first >= 0]]), kind="stable")
+        next_ = next_[np.concatenate([[True], next_[1:] != next_[:-1]])]
+        return next_[self._live[next_] & ~self.stop[next_] & (after[next_] < len(before))]
 
 
 def _thresholds(total: int, minimum: int) -> list[int]:
@@ -161,9 +210,10 @@ def compress(words, flat, offsets, doc_words, first_new: int, minimum: int = MIN
     seq = flat[np.repeat(offsets[:-1][used] - (ends - lens), lens) + np.arange(ends[-1] if len(ends) else 0)].astype(np.int64)
     stop = np.zeros(len(seq), bool)
     stop[ends[lens > 0] - 1] = True
-    rules: list = []
-    weight = np.repeat(counts[used], lens).astype(np.float64)
-    seq, stop, first_new = _passes(seq, stop, weight, _thresholds(len(words), minimum), first_new, rules)
+    rules, inner = _Rules(first_new), _Sequence(seq, stop, np.repeat(counts[used], lens).astype(np.float64))
+    for threshold in _thresholds(len(words), minimum):
+        inner.shorten(threshold, rules, threshold == minimum)
+    seq, stop = inner.symbols, inner.stop
     # Words of no ids (they are possible) keep their place in the table.
     size = np.zeros(len(used), np.int64)
     size[lens > 0] = np.diff(np.concatenate([[0], np.flatnonzero(stop) + 1]))
@@ -175,9 +225,10 @@ def compress(words, flat, offsets, doc_words, first_new: int, minimum: int = MIN
     doc_ends = ends[np.cumsum(doc_words) - 1]
     stop = np.zeros(len(symbols), bool)
     stop[doc_ends - 1] = True
-    symbols, stop, _ = _passes(symbols, stop, None, [minimum], first_new, rules)
-    at = np.concatenate([[0], np.flatnonzero(stop) + 1])
-    return symbols, at, np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
+    outer = _Sequence(symbols, stop, None)
+    for threshold in _thresholds(len(symbols), minimum):
+        outer.shorten(threshold, rules, threshold == minimum)
+    return outer.symbols, np.concatenate([[0], np.flatnonzero(outer.stop) + 1]), rules.table()
 
 
 def _lengths(rules, base: int):
@@ -280,25 +331,6 @@ class Shard:
 # --- encoding --------------------------------------------------------------
 
 
-def _powers(base: int, n: int):
-    """``base ** k`` modulo 2**64 for ``k < n``."""
-    x = np.full(n, base, np.uint64)
-    x[:1] = 1
-    return np.cumprod(x, dtype=np.uint64)
-
-
-@lru_cache(maxsize=4)
-def _power_tables(n: int, prime: int = _PRIME):
-    return _powers(prime, n), _powers(pow(prime, -1, 1 << 64), n)
-
-
-def piece_codes(data, begin, end, prime: int = _PRIME):
-    """64-bit hashes of the pieces ``data[begin:end]``."""
-    up, down = _power_tables(1 << max(20, int(len(data)).bit_length()), prime)
-    total = np.cumsum(_OF_BYTE[data] * up[: len(data)], dtype=np.uint64)
-    return (total[end - 1] - total[begin - 1]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
-
-
 def _pieces(data):
     """Where the pieces of space-led UTF-8 bytes begin and end.
 
@@ -323,12 +355,21 @@ def _pieces(data):
     return begin, np.flatnonzero(inside[:-1] & (~inside[1:] | starts[1:])) + 1
 
 
+def _cut_as_here(lib) -> bool:
+    """Whether a tokenizer normalises and cuts texts as :func:`_pieces` assumes."""
+    spec = json.loads(lib.to_str())
+    normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    cut = [t.get("pattern", {}).get("Regex") for t in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]
+    return normal == ["NFC", "Replace", "Lowercase"] and cut == [_PRE_TOKENS, None] and spec["model"].get("end_of_word_suffix") == "</w>"
+
+
 class Words:
     """Table of the words seen by a worker and their ids.
 
     White space separates pre-tokens and leaves no trace in the ids, so a text's
-    ids are its pieces' ids, one after the other.  Pieces are known by two
-    independent 64-bit hashes; row 0 is the end marker."""
+    ids are its pieces' ids, one after the other.  Pieces are known by their bytes
+    (codes only group those of a batch, and the groups are compared byte by byte);
+    row 0 is the end marker."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -337,14 +378,18 @@ class Words:
         self._lib = Tokenizer.from_file(path)
         self._lib.no_truncation()
         self._lib.no_padding()
+        if not _cut_as_here(self._lib):
+            raise ValueError("the pieces of a text are not this tokenizer's pre-tokens")
         vocab = self._lib.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocab.values()) + 1, bool)
         self._ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.base = max(self._lib.get_vocab_size(with_added_tokens=True), END_ID + 1)
         self._ids = [struct.pack("<i", END_ID)]
         self._seen = np.zeros(0)
-        #: Sorted hashes, the second hashes, and the rows.
-        self._hash, self._check, self._row = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
+        #: Codes in order, the pieces' places in the store, and their rows; pieces
+        #: whose code another piece has come first in ``_odd``.
+        self._code, self._at, self._row = np.empty(0, np.uint64), np.empty((0, 2), np.int64), np.empty(0, np.int64)
+        self._store, self._odd = np.zeros(8, np.uint8), {}
 
     def rows(self, texts: list[str | None]) -> list:
         """Rows of the table for the pieces of each text, the end marker last."""
@@ -355,31 +400,53 @@ class Words:
         if b"<|" not in text:  # an added token's spelling keeps its case
             data = np.where((data >= 0x41) & (data <= 0x5A), data | 0x20, data)
         begin, end = _pieces(data)
-        code, check = piece_codes(data, begin, end), piece_codes(data, begin, end, _OTHER_PRIME)
+        code = codes(data, begin, end)
         hashes, first, index = np.unique(code, return_index=True, return_inverse=True)
-        if not (check == check[first[index]]).all():  # two pieces of one hash: both hashes tell them apart
-            code = code ^ (check * np.uint64(0x9E3779B97F4A7C15))
-            hashes, first, index = np.unique(code, return_index=True, return_inverse=True)
-        known = self._rows_of(hashes, check[first], data, begin[first], end[first])
+        if equal(data, begin, end, first[index]):
+            known = self._rows_of(hashes, data, begin[first], end[first])
+        else:  # two pieces of one code
+            plain = data.tobytes()
+            every = np.array([plain[i:j] for i, j in zip(begin.tolist(), end.tolist())], object)
+            pieces, index = np.unique(every, return_inverse=True)
+            known = self._rows_apart(pieces.tolist())
         rows = known[index]
         edges = np.cumsum([len(x) + 1 for x in raw])
         cuts = np.searchsorted(begin, edges).tolist()
         return [np.append(rows[i:j], 0) for i, j in zip([0, *cuts], cuts)]
 
-    def _rows_of(self, hashes, check, data, begin, end):
-        at = np.searchsorted(self._hash, hashes)
-        near = np.minimum(at, max(len(self._hash) - 1, 0))
-        found = (self._hash[near] == hashes) & (self._check[near] == check) if len(self._hash) else np.zeros(len(hashes), bool)
+    def _rows_of(self, hashes, data, begin, end):
+        """Rows of pieces of different codes, which are in order."""
+        at = np.searchsorted(self._code, hashes)
+        found = np.flatnonzero(at < len(self._code))
+        found = found[self._code[at[found]] == hashes[found]]
+        place = self._at[at[found]]
+        both = np.concatenate([data, self._store])
+        starts, stops = np.concatenate([begin[found], place[:, 0] + len(data)]), np.concatenate([end[found], place[:, 1] + len(data)])
+        n = np.arange(len(found))
+        right = same(both, starts, stops, n, n + len(found))
         out = np.empty(len(hashes), np.int64)
-        out[found] = self._row[near[found]]
-        new = np.flatnonzero(~found)
-        plain = data.tobytes() if len(new) else b""
-        out[new] = self._added([plain[i:j].decode() for i, j in zip(begin[new].tolist(), end[new].tolist())])
-        self._hash = np.insert(self._hash, at[new], hashes[new])
-        self._check = np.insert(self._check, at[new], check[new])
+        out[found[right]] = self._row[at[found[right]]]
+        fresh = np.ones(len(hashes), bool)
+        fresh[found] = False
+        plain = data.tobytes()
+        for k in found[~right].tolist():  # another piece's code
+            out[k] = self._rows_apart([plain[begin[k] : end[k]]])[0]
+        new = np.flatnonzero(fresh)
+        raw = [plain[i:j] for i, j in zip(begin[new].tolist(), end[new].tolist())]
+        out[new] = self._added([p.decode() for p in raw])
+        stop = len(self._store) - 8 + np.cumsum(end[new] - begin[new])
+        self._store = np.concatenate([self._store[:-8], np.frombuffer(b"".join(raw), np.uint8), np.zeros(8, np.uint8)])
+        self._code = np.insert(self._code, at[new], hashes[new])
+        self._at = np.insert(self._at, at[new], np.stack([stop - (end[new] - begin[new]), stop], axis=1), axis=0)
         self._row = np.insert(self._row, at[new], out[new])
         return out
 
+    def _rows_apart(self, pieces: list[bytes]):
+        """Rows of pieces that codes do not tell apart."""
+        new = [p for p in pieces if p not in self._odd]
+        self._odd.update(zip(new, self._added([p.decode() for p in new])))
+        return np.array([self._odd[p] for p in pieces], np.int64)
+
     def _added(self, words: list[str]) -> list[int]:
         """Put new words into the table; their rows."""
         odd = [w for w in words if _ODD(w.encode())]
@@ -428,8 +495,12 @@ class Words:
             keep = np.sort(np.argpartition(-seen, _TABLE_LIMIT * 5 // 8)[: _TABLE_LIMIT * 5 // 8])
             place = np.full(len(seen), -1, np.int64)
             place[keep] = np.arange(len(keep))
-            stays = place[self._row] >= 0
-            self._hash, self._check, self._row = self._hash[stays], self._check[stays], place[self._row[stays]]
+            stays = np.flatnonzero(place[self._row] >= 0)
+            size = np.diff(self._at[stays], axis=1)[:, 0]
+            stop = np.cumsum(size)
+            self._store = np.append(self._store[np.repeat(self._at[stays, 0] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)], np.zeros(8, np.uint8))
+            self._code, self._at, self._row = self._code[stays], np.stack([stop - size, stop], axis=1), place[self._row[stays]]
+            self._odd = {p: int(place[r]) for p, r in self._odd.items() if place[r] >= 0}
             self._ids = [self._ids[r] for r in keep.tolist()]
             self._seen = seen[keep]
             self._seen[0] = 0
@@ -440,13 +511,15 @@ def words_of(path: str) -> Words:
     return Words(path)
 
 
-SHARD_SCHEMA = "part int, block int, before long, n_ids long, doc_ids array<long>, payload binary"
+def _shard_schema(id_type: str) -> str:
+    return f"part int, block int, before long, n_ids long, doc_ids array<{id_type}>, payload binary"
 
 
-def _shards(tokenizer: str, shard_ids: int):
+def _shards(tokenizer: str, shard_ids: int, id_type: DataType):
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
+        from pyspark.sql.pandas.types import to_arrow_type
 
         table, part, block, before = words_of(tokenizer_path(tokenizer)), TaskContext.get().partitionId(), 0, 0
         docs, rows, held = [], [], 0
@@ -459,7 +532,7 @@ def _shards(tokenizer: str, shard_ids: int):
             n = int((counts * np.diff(offsets)).sum())
             table.shrink(counts)
             cols = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()), pa.array([n], pa.int64())]
-            cols += [pa.array([docs], pa.list_(pa.int64())), pa.array([payload], pa.binary())]
+            cols += [pa.array([docs], pa.list_(to_arrow_type(id_type))), pa.array([payload], pa.binary())]
             return n, pa.RecordBatch.from_arrays(cols, ["part", "block", "before", "n_ids", "doc_ids", "payload"])
 
         for piece in _rows(batches, "text", _text_cost, min(3 << 20, shard_ids)):
@@ -480,7 +553,8 @@ def _shards(tokenizer: str, shard_ids: int):
 def write(docs: DataFrame, tokenizer: str = TOKENIZER, shard_ids: int = SHARD_IDS) -> DataFrame:
     """Write the ids of ``docs`` (``doc_id``, ``text``) and return the shards."""
     ordered = small_batches(docs).select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(_shards(tokenizer, shard_ids), SHARD_SCHEMA), "token-shards")
+    id_type = docs.schema["doc_id"].dataType
+    return materialize(ordered.mapInArrow(_shards(tokenizer, shard_ids, id_type), _shard_schema(id_type.simpleString())), "token-shards")
 
 
 def read(shards: DataFrame, with_ids: bool = True) -> DataFrame:
@@ -490,9 +564,13 @@ def read(shards: DataFrame, with_ids: bool = True) -> DataFrame:
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     offsets = totals.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
 
+    id_type = shards.schema["doc_ids"].dataType.elementType
+
     def run(batches):
         import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
 
+        kinds = [to_arrow_type(id_type), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             for row in range(batch.num_rows):
                 part, before = batch.column(0)[row].as_py(), batch.column(2)[row].as_py()
@@ -503,20 +581,20 @@ def read(shards: DataFrame, with_ids: bool = True) -> DataFrame:
                     for column, value in zip(out, (doc, before, len(ids), zlib.crc32(raw))):
                         column.append(value)
                     if with_ids:
-                        yield make(part, [[doc], [before], [len(ids)], [zlib.crc32(raw)]], [raw.astype(np.int32)], pa)
+                        yield make(part, [[doc], [before], [len(ids)], [zlib.crc32(raw)]], [raw.astype(np.int32)], kinds, pa)
                     before += len(ids)
                 if not with_ids:
-                    yield make(part, out, None, pa)
+                    yield make(part, out, None, kinds, pa)
         give_back()
 
-    def make(part, columns, ids, pa):
-        arrays = [pa.array([part] * len(columns[0]), pa.int32()), *[pa.array(c, pa.int64()) for c in columns]]
+    def make(part, columns, ids, kinds, pa):
+        arrays = [pa.array([part] * len(columns[0]), pa.int32()), *[pa.array(c, kind) for c, kind in zip(columns, kinds)]]
         names = ["part", "doc_id", "before", "n_tokens", "ids_crc32"]
         if ids is not None:
             arrays, names = [*arrays, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    schema = "part int, doc_id long, before long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
+    schema = f"part int, doc_id {id_type.simpleString()}, before long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
     # At most one row a partition of the write: a bounded broadcast.
     out = shards.mapInArrow(run, schema).join(F.broadcast(offsets), "part")
     extra = ["ids"] if with_ids else []

@@ -77,3 +77,50 @@ def test_query(spark, lib, tmp_path):
     assert got == sorted(r[:4] for r in _want(lib, rows))
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "e" / "documents.parquet"))
     assert ts.op9_token_store(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_words_that_defeat_polynomial_hashes(spark, lib):
+    """A Thue-Morse word and its complement agree under any polynomial hash modulo
+    2**64 from 1,024 letters on."""
+    rows = []
+    for k, n in enumerate((512, 1024, 2048, 4096)):
+        word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+        rows += [(2 * k, word), (2 * k + 1, word.translate(str.maketrans("ab", "ba")))]
+    got = ts.read(ts.write(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))).collect()
+    assert sorted((tuple(r) for r in got), key=lambda r: r[1]) == _want(lib, rows)
+
+
+def test_pieces_of_one_code_are_told_apart(monkeypatch, lib):
+    """With a code that knows only a word's length, bytes decide."""
+    monkeypatch.setattr(ts, "codes", lambda data, begin, end: (end - begin).astype(np.uint64))
+    table = ts.Words(P.path(ts.TOKENIZER))
+    for texts in (["one", "two three"], ["six one two", "one"], ["ten seven", "one three eight"], [None, "two"]):
+        flat_rows = table.rows(texts)
+        flat, offsets = table.table()
+        for t, rows in zip(texts, flat_rows):
+            ids = [int(i) for r in rows for i in flat[offsets[r] : offsets[r + 1]]]
+            assert ids == [*lib.encode(t or "", add_special_tokens=False).ids, ts.END_ID]
+
+
+@pytest.mark.parametrize("seed", [0, 1, 2])
+def test_no_pair_is_left_frequent(seed):
+    rng = np.random.default_rng(seed)
+    flat = rng.zipf(1.3, 3000).clip(max=60).astype("<i4")
+    offsets = np.concatenate([[0], np.sort(rng.choice(np.arange(1, 3000), 700, replace=False)), [3000]])
+    words = rng.zipf(1.2, 40_000).clip(max=700) - 1
+    sizes = rng.multinomial(40_000 - 50, np.ones(50) / 50) + 1
+    words[200:900] = 3  # a long run
+    symbols, at, rules = ts.compress(words, flat, offsets, sizes.tolist(), 100, minimum=8)
+    pairs = np.stack([symbols[:-1], symbols[1:]], axis=1)[~np.isin(np.arange(1, len(symbols)), at)]
+    assert np.unique(pairs, axis=0, return_counts=True)[1].max() < 8
+    assert len({tuple(r) for r in rules.tolist()}) == len(rules)  # a pair has one rule
+    shard = ts.Shard(ts.pack(symbols, at, rules, 100))
+    ends = np.cumsum(sizes)
+    for k, got in enumerate(shard.documents()):
+        want = [flat[offsets[w] : offsets[w + 1]] for w in words[ends[k] - sizes[k] : ends[k]]]
+        assert (got == np.concatenate(want)).all()
+
+
+def test_other_tokenizers_are_refused():
+    with pytest.raises(ValueError):
+        ts.Words(P.path("byte_bpe_50k.json"))
