@@ -30,9 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwing.llm._common import id_fold, materialize, read_table, small_batches
+from lapwing.llm._words import mixed, tokens
 from lapwing.llm.byte_bpe import _rows, _text_cost
-from lapwing.llm.lm_scoring import _mixed
-from lapwing.llm.token_store import _NOT_WHITE, piece_codes
 
 BUCKETS = 1 << 16
 LENGTH = 64.0
@@ -45,18 +44,14 @@ _BINS = 4096
 
 def gram_buckets(texts: list[str | None]):
     """Buckets of all n-grams, text after text, and how many each text has."""
-    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
-    word = _NOT_WHITE[data]
-    begin = np.flatnonzero(word[1:] & ~word[:-1]) + 1
-    end = np.flatnonzero(word[:-1] & ~word[1:]) + 1
-    code = _mixed(piece_codes(data, begin, end))
-    doc = np.searchsorted(np.cumsum([len(x) + 1 for x in raw]), begin, side="right")
-    pair = _mixed(code[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ code[1:])
+    code, cuts = tokens(texts, lower=False)
+    doc = np.repeat(np.arange(len(texts)), np.diff(cuts, prepend=0))
+    code = mixed(code)
+    pair = mixed(code[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ code[1:])
     same = doc[1:] == doc[:-1]
     codes, docs = np.concatenate([code, pair[same]]), np.concatenate([doc, doc[1:][same]])
     order = np.argsort(docs, kind="stable")
-    return (codes[order] >> np.uint64(48)).astype(np.int64), np.bincount(docs, minlength=len(raw))
+    return (codes[order] >> np.uint64(48)).astype(np.int64), np.bincount(docs, minlength=len(texts))
 
 
 def _counts(batches):

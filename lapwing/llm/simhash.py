@@ -266,7 +266,8 @@ _EMPTY = np.uint64(0x9E3779B97F4A7C15)
 def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
     """The distinct word shingles of each text, as sorted hashes; a shorter text
     is one shingle, and so is one without words."""
-    from lapwing.llm.lm_scoring import _mixed, token_hashes
+    from lapwing.llm._words import mixed as _mixed
+    from lapwing.llm.lm_scoring import token_hashes
 
     codes, size = token_hashes(texts)
     turned = [_mixed(codes + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(words)]
