@@ -19,12 +19,15 @@ TOKENIZER_DIR_DEFAULT = "/opt/tokenizers"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and every executor see.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset (tests on one
-    machine) a temporary folder is made and remembered in the session.
+    ``spark.checkpoint.dir`` names it.  Only in a local session, whose executors
+    are the driver, may it be unset: a temporary folder is then made and remembered
+    in the session.  On a cluster that is an error.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
         where = spark.conf.get("lapwing.shared.dir", None)
+    if not where and not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not where:
         where = tempfile.mkdtemp(prefix="lapwing-shared-")
         spark.conf.set("lapwing.shared.dir", where)
@@ -87,6 +90,41 @@ def tokenizer_path(name: str) -> str:
         return os.path.join(TOKENIZER_DIR_DEFAULT, name)
 
 
+#: Values that :func:`slot` has: the bound of what :func:`parted` broadcasts.
+SLOTS = 1 << 20
+
+
+def slot(*columns: Column) -> Column:
+    """A hash of the columns, one of ``SLOTS`` values."""
+    return F.pmod(F.xxhash64(*columns), F.lit(SLOTS)).cast("int")
+
+
+def parted(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``_slot`` no key has, and the others; without a shuffle.
+
+    Only the keys' slots are broadcast, at most ``SLOTS`` whole numbers.  Where the
+    keys are few among the rows, what must then be shuffled to meet them is little
+    more than what does meet them; where they are many, it is everything, as in a
+    plain join."""
+    taken = F.broadcast(keys.select("_slot").distinct())
+    return rows.join(taken, "_slot", "left_anti"), rows.join(taken, "_slot", "left_semi")
+
+
+def other_columns(df: DataFrame, *names: str) -> list[int]:
+    """Places of the columns that are not called like ``names``, in whatever case:
+    Spark does not tell such names apart."""
+    taken = {n.lower() for n in names}
+    return [i for i, c in enumerate(df.columns) if c.lower() not in taken]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as make it differ from all columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def batches_of(
     rows: Iterator, max_rows: int = 2000, max_cost: int = 8 << 20
 ) -> Iterator[list]:

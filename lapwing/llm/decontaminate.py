@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import materialize, read_table, text_or_empty
+from lapwing.llm._common import materialize, parted, read_table, slot, text_or_empty
 
 WINDOW = 10
 BROADCAST_WINDOWS = 400_000
@@ -192,16 +192,19 @@ def decontaminate(
     """
     found = hits(docs, benchmark, text_col, id_col, **options)
     bad = found.where((F.col("n_hit") >= min_hit) & (F.col("n_hit") >= F.col("n_words") * F.lit(min_share)) & (F.col("n_hit") > 0))
-    bad = materialize(bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"), F.col("spans").alias("_bad_spans")), "contaminated")
+    bad = materialize(bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash"), F.col("spans").alias("_bad_spans"), slot(F.col("text_hash")).alias("_slot")), "contaminated")
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(id_col).alias("_id"),
         F.xxhash64(text_or_empty(F.col(text_col)), F.lit(7)).alias("_hash"),
     )
+    sure, unsure = parted(rows.withColumn("_slot", slot(F.col("_hash"))), bad)
+    bad = bad.drop("_slot")
     on = F.col("_id").eqNullSafe(F.col("_bad_id")) & (F.col("_hash") == F.col("_bad_hash"))
+    sure = sure.select("row.*")
     if remove == "documents":
-        return rows.join(bad, on, "left_anti").select("row.*")
-    text = F.col(f"row.{text_col}")
+        return sure.union(unsure.join(bad, on, "left_anti").select("row.*"))
+    text = F.col(f"row.`{text_col}`")
     gaps = F.split(text, _RAW_WORD, -1)
     plain = F.regexp_extract_all(text, F.lit(_RAW_WORD), 0)
     pieces = F.concat(F.zip_with(F.slice(gaps, F.lit(1), F.size(plain)), plain, lambda g, w: F.struct(g.alias("g"), w.alias("w"))), F.array(F.struct(F.element_at(gaps, -1).alias("g"), F.lit("").alias("w"))))
@@ -212,13 +215,13 @@ def decontaminate(
         return F.concat(F.when(in_gap, F.lit("")).otherwise(p["g"]), F.when(in_word, F.lit("")).otherwise(p["w"]))
 
     cut = F.array_join(F.transform(pieces, kept), "")
-    joined = rows.join(bad, on, "left")
-    return joined.select(
+    joined = unsure.join(bad, on, "left")
+    return sure.union(joined.select(
         *[
             (F.when(F.col("_bad_spans").isNull(), text).otherwise(cut) if c == text_col else F.col(f"row.`{c}`")).alias(c)
             for c in docs.columns
         ]
-    )
+    ))
 
 
 def op4_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import materialize, text_or_empty
+from lapwing.llm._common import materialize, parted, read_table, slot, text_or_empty
 
 #: Size of the frequent-items summary, hence the bound of the broadcast.
 COUNTERS = 2048
@@ -124,26 +124,19 @@ def deduplicate(
     columns; one of them stays.
     """
     member = membership(docs, text_col, id_col, counters)
-    kept = materialize(
-        member.groupBy("doc_id", "text_sha256").agg(
-            F.max("kept").alias("kept"), F.count(F.lit(1)).alias("same")
-        ),
-        "kept",
-    ).where("kept")
-    names = docs.columns
-    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("d"), digest_hex(F.col(text_col)).alias("h"))
-    joined = left.join(
-        kept.select(F.col("doc_id").alias("kd"), F.col("text_sha256").alias("kh"), "same"),
-        F.col("d").eqNullSafe(F.col("kd")) & (F.col("h") == F.col("kh")),
-    )
-    single = joined.where("same = 1").select("row.*")
-    tied = joined.where("same > 1").dropDuplicates(["kd", "kh"]).select("row.*")
-    return single.unionByName(tied)
+    told = member.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("same"))
+    # Texts are neither moved nor hashed again but for the ids of these.
+    told = told.where("not kept or same > 1").select(F.col("doc_id").alias("kd"), F.col("text_sha256").alias("kh"), "kept", slot(F.col("doc_id")).alias("_slot"))
+    told = materialize(told, "dropped")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("d"), slot(F.col(id_col)).alias("_slot"))
+    sure, unsure = parted(rows, told)
+    unsure = unsure.withColumn("h", digest_hex(F.col(f"row.`{text_col}`")))
+    joined = unsure.join(told.drop("_slot"), F.col("d").eqNullSafe(F.col("kd")) & (F.col("h") == F.col("kh")), "left")
+    tied = joined.where("kept").dropDuplicates(["kd", "kh"])
+    return sure.select("row.*").union(joined.where("kh is null").select("row.*")).union(tied.select("row.*"))
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:
-    from lapwing.llm._common import read_table
-
     return membership(read_table(spark, sf_dir, "documents"))
 
 

@@ -36,7 +36,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import give_back, materialize, read_table, small_batches
+from lapwing.llm._common import give_back, materialize, parted, read_table, slot, small_batches
+from lapwing.llm._words import mixed
 from lapwing.llm.components import components
 
 MAX_BITS = 3
@@ -266,14 +267,13 @@ _EMPTY = np.uint64(0x9E3779B97F4A7C15)
 def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
     """The distinct word shingles of each text, as sorted hashes; a shorter text
     is one shingle, and so is one without words."""
-    from lapwing.llm._words import mixed as _mixed
     from lapwing.llm.lm_scoring import token_hashes
 
     codes, size = token_hashes(texts)
-    turned = [_mixed(codes + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(words)]
+    turned = [mixed(codes + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(words)]
     chain = np.zeros(len(codes), np.uint64)
     for i in range(words):
-        chain[: max(0, len(codes) - i)] = _mixed(chain[: max(0, len(codes) - i)] * np.uint64(3) + turned[i][i:])
+        chain[: max(0, len(codes) - i)] = mixed(chain[: max(0, len(codes) - i)] * np.uint64(3) + turned[i][i:])
     out = []
     for n, end in zip((size - 1).tolist(), (np.cumsum(size) - 1).tolist()):
         if n >= words:
@@ -281,7 +281,7 @@ def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
             continue
         one = np.full(1, _EMPTY)
         for i in range(n):
-            one = _mixed(one * np.uint64(3) + turned[i][end - n + i : end - n + i + 1])
+            one = mixed(one * np.uint64(3) + turned[i][end - n + i : end - n + i + 1])
         out.append(one)
     return out
 
@@ -349,36 +349,29 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
             prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix], ["node", "doc_id", "n", "prefix"])
 
-    return texts.mapInArrow(run, "node long, doc_id long, n long, prefix array<long>")
+    return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>")
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, shingles`` of the texts named."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        from lapwing.llm.byte_bpe import _rows, _text_cost
-
-        for piece in _rows(batches, "text", _text_cost):
-            sets = [x.tobytes() for x in shingle_sets(piece.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    named = texts.select("node", "text").join(nodes, "node", "left_semi")
-    return named.mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+#: Bytes of texts that a part of the pairs needs, and pairs in it, about.
+_PART_BYTES, _PART_PAIRS = 4 << 20, 50_000
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose sets are that similar.  A part of the pairs gets
-    each set that it needs once, however many of its pairs need it."""
+    """The pairs ``a, b`` whose sets of shingles are that similar.  Only texts in
+    pairs move.  A part of the pairs gets each text that it needs once, however many
+    of its pairs need it."""
     pairs = materialize(pairs, "pairs")
-    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "pair-nodes")
-    sets = _sets_of(texts, nodes)
-    parts = 1 + nodes.count() // 4000 + pairs.count() // 100_000
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("_slot", slot(F.col("node")))
+    nodes = materialize(nodes, "pair-nodes")
+    _, some = parted(texts.select("node", "text").withColumn("_slot", slot(F.col("node"))), nodes)
+    # One text a node, pre-aggregated: copies share their node.
+    needed = materialize(some.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "pair-texts")
+    size = needed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
+    parts = 1 + size // _PART_BYTES + pairs.count() // _PART_PAIRS
     dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)))
-    need = dealt.select("part", F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
-    need = need.select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "shingles")
-    both = need.unionByName(dealt.select("part", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("binary").alias("shingles")))
+    need = dealt.select("part", F.explode(F.array("a", "b")).alias("node")).distinct().join(needed, "node")
+    need = need.select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "text")
+    both = need.unionByName(dealt.select("part", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
 
     def run(batches):
         import pyarrow as pa
@@ -394,8 +387,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                 if part[lo] != now:
                     now, held = part[lo], {}
                 if kind[lo] == 0:
-                    for node, raw in zip(a[lo:hi].tolist(), batch.column(4).slice(lo, hi - lo).to_pylist()):
-                        held[node] = np.frombuffer(raw, "<u8")
+                    for k in range(lo, hi):  # one by one: the codes of a text take several times its size
+                        held[int(a[k])] = shingle_sets([batch.column(4)[k].as_py()])[0]
                     continue
                 one, others = held[int(b[lo])], [held[x] for x in a[lo:hi].tolist()]
                 size = np.array([len(x) for x in others])
@@ -481,7 +474,7 @@ def near_deduplicate(docs: DataFrame, threshold: float = NEAR_FROM, text_col: st
     is at least ``threshold``; a group is what links connect.  No such pair is
     missed and no other is linked, but for collisions of 64-bit hashes."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = small_batches(docs).select(F.xxhash64(text, F.lit(7)).alias("node"), text.alias("text"), F.col(id_col).cast("long").alias("doc_id"))
+    texts = small_batches(docs).select(F.xxhash64(text, F.lit(7)).alias("node"), text.alias("text"), F.col(id_col).alias("doc_id"))
     prefixes = materialize(_prefixes(texts, threshold), "prefixes")
     groups = materialize(components(near_links(texts, prefixes, threshold)), "groups")
     member = materialize(prefixes.select("node", "doc_id").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
@@ -489,10 +482,12 @@ def near_deduplicate(docs: DataFrame, threshold: float = NEAR_FROM, text_col: st
     marked = member.join(materialize(first.where("size > 1"), "first"), "root")
     # A row that agrees with its group's first one in id and text stays with it.
     gone = marked.where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("node") == F.col("first.node"))))
-    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("node").alias("_gone_hash")).distinct(), "gone")
-    left = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(7)).alias("_hash"))
+    gone = materialize(gone.select(F.col("doc_id").alias("_gone_id"), F.col("node").alias("_gone_hash")).distinct().withColumn("_slot", slot(F.col("_gone_hash"))), "gone")
+    hashed = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")), F.lit(7))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("_id"), hashed.alias("_hash")).withColumn("_slot", slot(F.col("_hash")))
+    sure, unsure = parted(rows, gone)
     on = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash"))
-    return left.join(gone, on, "left_anti").select("row.*")
+    return sure.select("row.*").union(unsure.join(gone.drop("_slot"), on, "left_anti").select("row.*"))
 
 
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
