@@ -26,7 +26,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import batches_of, give_back, read_table, small_batches, tokenizer_path
+from lapwing.llm._common import batches_of, give_back, other_columns, read_table, small_batches, tokenizer_path
 from lapwing.llm._units import UnitTable
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
@@ -216,9 +216,9 @@ def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", rank_f
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, _ids_array(bpe.encode(texts))], [*names, out_col])
 
-    keep = [i for i, c in enumerate(docs.columns) if c != out_col]
+    keep = other_columns(docs, out_col)
     names = [docs.columns[i] for i in keep]
-    schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
     return small_batches(docs).mapInArrow(run, schema)
 
 
@@ -239,9 +239,9 @@ def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], [*names, out_col])
 
-    keep = [i for i, c in enumerate(rows.columns) if c != out_col]
+    keep = other_columns(rows, out_col)
     names = [rows.columns[i] for i in keep]
-    schema = T.StructType([f for f in rows.schema.fields if f.name != out_col] + [T.StructField(out_col, T.BinaryType())])
+    schema = T.StructType([rows.schema.fields[i] for i in keep] + [T.StructField(out_col, T.BinaryType())])
     return small_batches(rows).mapInArrow(run, schema)
 
 
@@ -263,7 +263,7 @@ def round_trip(docs: DataFrame, text_col: str = "text", rank_file: str = RANK_FI
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, _ids_array(coded), pa.array(texts, pa.binary())], [*names, "ids", "decoded"])
 
-    keep = [i for i, c in enumerate(docs.columns) if c not in ("ids", "decoded")]
+    keep = other_columns(docs, "ids", "decoded")
     names = [docs.columns[i] for i in keep]
     schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
     return small_batches(docs).mapInArrow(run, schema)

@@ -22,7 +22,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import read_table, small_batches, text_or_empty, tokenizer_path
+from lapwing.llm._common import other_columns, read_table, small_batches, text_or_empty, tokenizer_path
 from lapwing.llm._units import UnitTable
 from lapwing.llm.byte_bpe import _pattern, _rows, _text_cost
 
@@ -106,9 +106,9 @@ def count_tokens(docs: DataFrame, text_col: str = "text", out_col: str = "n_toke
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(c.count(texts), pa.int64())], [*names, out_col])
 
-    keep = [i for i, c in enumerate(docs.columns) if c != out_col]
+    keep = other_columns(docs, out_col)
     names = [docs.columns[i] for i in keep]
-    schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.LongType())])
+    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.LongType())])
     return small_batches(docs).mapInArrow(run, schema)
 
 

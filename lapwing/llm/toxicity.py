@@ -1,51 +1,66 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled text.  Both hold what the
-trainer finds in windows of ordinary text; the toxic one also holds the segments
-that tell toxic text from ordinary text, the other one as many bytes of ordinary
-text in their place, so that every common match costs the same in both.  Each
-window of ``WINDOW`` words is compressed with either; it is the closer to toxic
-text the more bytes the toxic dictionary saves.  How often the savings pass each
-of the ``STEPS`` in a text, and how long it is, go through a logistic curve
-fitted on labelled texts that the dictionaries have not seen: the score.
-
-The distinguishing segments are found by character five-grams of words: greedily
-the gram with the largest significance of its log odds, widened while nearly all
-its occurrences agree on the next character; words that hold it then count for no
-other gram.  (The trainer alone keeps what is frequent, not what distinguishes;
-the README has the figures.)
+Two zstandard dictionaries are trained apart, one on toxic and one on ordinary
+passages of labelled texts.  Each window of ``WINDOW`` words is compressed with
+either; it is the closer to toxic text the more bytes the toxic dictionary saves.
+How often the savings pass each of the ``STEPS`` in a text, and how long it is, go
+through a logistic curve fitted on labelled texts that the dictionaries have not
+seen: the calibrated thresholds, and the score.
+
+Most of a toxic text is ordinary, and the trainer keeps what is frequent, so it
+needs passages that are toxic: runs of the words of toxic texts in which a segment
+occurs that tells toxic from ordinary texts.  Such segments are found by character
+five-grams of words: greedily the gram with the largest significance of its log
+odds, widened while nearly all its occurrences agree on the next character; words
+that hold it then count for no other gram.  The ordinary passages are runs of the
+words of ordinary texts.  Behind both dictionaries stands what the trainer finds in
+windows of ordinary text at large, so that a common match costs the same in both.
 
 Bounds: at most ``TOXIC_SAMPLE`` toxic and ``ORDINARY_SAMPLE`` ordinary labelled
-rows, chosen by a hash of their ids, are used to fit.  Every text is scored whole.
+rows of together at most ``SAMPLE_BYTES``, taken in the order of a hash of their
+ids, are used to fit; the trainer sees at most ``TRAINER_WINDOWS`` of their windows,
+evenly spaced.  Every text is scored whole.
 
 Defined results: null and empty texts have no window and get the curve's value
 there; unlabelled, null and conflicting labels: nulls are skipped, a document with
-any toxic label is toxic; without toxic or ordinary rows to learn from every score
-is 0.  Repeated rows score alike; extra columns are kept unless called like the
-output.
+any toxic label is toxic; of rows that share an id the least text is learnt from;
+null ids are scored, not learnt from and not held out; without toxic or ordinary
+rows to learn from every score is 0; an empty table gives an empty result.
+Repeated rows score alike; extra columns are kept unless called, in whatever case,
+like the output.
 """
 
 from __future__ import annotations
 
+import heapq
+import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import id_fold, read_table, small_batches
+from lapwing.llm._common import id_fold, materialize, other_columns, read_table, small_batches
 from lapwing.llm.byte_bpe import _rows, _text_cost
 
 TOXIC_SAMPLE = 2000
 ORDINARY_SAMPLE = 6000
 WINDOW = 8
 STEPS = (1, 2, 3, 5)
+#: Bytes of the two dictionaries' own parts, and of what stands behind both.
+OWN = 256
 DICTIONARY = 32 * 1024
 LEVEL = 6
-#: Windows of ordinary text that the dictionary trainer sees at most.
+#: Bytes of text that are learnt from, at most.
+SAMPLE_BYTES = 64 << 20
+#: Windows that the dictionary trainer sees at most.
 TRAINER_WINDOWS = 60_000
+#: Words of a passage.
+_PASSAGE = 4
+#: Shingles that stand for a text when copies are told: the least by their hashes.
+_SKETCH = 64
 _GRAM = 5
 _SHARED = 4
 _COPIED = 0.2
@@ -73,8 +88,7 @@ def apart(texts: list[str]) -> list[str]:
     for t in texts:
         words = t.lower().split()
         marks = {zlib.crc32(" ".join(words[i : i + _SHARED]).encode("utf-8", "surrogatepass")) for i in range(max(1, len(words) - _SHARED + 1))}
-        if len(marks) > 64:  # long texts are compared by an eighth of their shingles
-            marks = {m for m in marks if m % 8 == 0} or marks
+        marks = set(heapq.nsmallest(_SKETCH, marks))
         if len(marks & seen) <= _COPIED * len(marks):
             out.append(t)
         seen |= marks
@@ -146,25 +160,43 @@ def _widened(gram: str, places: set[tuple[int, str]]) -> str:
         places = {(i, w) for i, w in places if gram in w}
 
 
-def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes] | None:
-    """Contents of the toxic and the ordinary dictionary, or None."""
+def _spread(samples: list, n: int) -> list:
+    """At most ``n`` samples, evenly spaced."""
+    return samples if len(samples) <= n else [samples[i * len(samples) // n] for i in range(n)]
+
+
+def trained(samples: list[bytes], size: int) -> bytes:
+    """What zstandard's trainer keeps of the samples, without its header; where
+    there is too little to train on, samples themselves, evenly spaced."""
     import zstandard
 
+    try:
+        return zstandard.train_dictionary(size, _spread(samples, TRAINER_WINDOWS)).as_bytes()[8:]
+    except zstandard.ZstdError:
+        mean = max(1, sum(map(len, samples)) // max(1, len(samples)))
+        return b"".join(_spread(samples, max(1, size // mean)))
+
+
+def _passages(words: list[str]) -> list[bytes]:
+    return [("".join(words[i : i + _PASSAGE])).encode("utf-8", "surrogatepass") for i in range(0, len(words), _PASSAGE)]
+
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes] | None:
+    """Contents of the toxic and the ordinary dictionary, or None."""
     found = segments(toxic, ordinary)
-    samples = []
-    for t in ordinary:
-        samples += windows(t)
-        if len(samples) >= TRAINER_WINDOWS:
-            break
-    if not found or not samples:
+    windowed = [w for t in ordinary for w in windows(t)]
+    if not found or not windowed:
         return None
-    try:
-        common = zstandard.train_dictionary(DICTIONARY, samples).as_bytes()
-    except zstandard.ZstdError:  # too little text to train on: the text itself
-        common = b"".join(samples)[:DICTIONARY]
-    own = "".join(reversed(found)).encode("utf-8", "surrogatepass")
-    filler = (b"".join(samples[-4 * len(own) :]) * (1 + len(own)))[: len(own)]
-    return own + common, filler + common
+    telling = re.compile("|".join(map(re.escape, sorted(found, key=len, reverse=True)))).search
+    spaced = lambda t: [" " + w for w in t.lower().split()]
+    of_toxic = [p for t in toxic for p in _passages([w for w in spaced(t) if telling(w)])]
+    of_ordinary = _spread([p for t in ordinary for p in _passages(spaced(t))], len(of_toxic))
+    own, other, common = trained(of_toxic, OWN), trained(of_ordinary, OWN), trained(windowed, DICTIONARY)
+    # Telling segments for which the trainer had no room, and ordinary text in their place.
+    own += "".join(s for s in reversed(found) if s.encode("utf-8", "surrogatepass") not in own).encode("utf-8", "surrogatepass")
+    filler = b"".join(_spread(windowed, len(own)))
+    other = (filler[: max(0, len(own) - len(other))] + other)[-len(own) :]
+    return own + common, other + common
 
 
 class Model:
@@ -253,17 +285,16 @@ def learn(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
     The ids are chosen first (two bounded lists), then only their texts move."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & (id_fold(F.col(id_col)) != 0))
     known = known.groupBy(F.col(id_col).alias("_id")).agg((F.max(label_col) > 0).alias("_toxic"))
-    order = [F.xxhash64(F.col("_id").cast("string"), F.lit("toxicity")), "_id"]
-    chosen = [known.where("_toxic").orderBy(*order).limit(TOXIC_SAMPLE), known.where("not _toxic").orderBy(*order).limit(ORDINARY_SAMPLE)]
+    place = F.xxhash64(F.col("_id").cast("string"), F.lit("toxicity"))
+    chosen = [known.where(which).orderBy(place, "_id").limit(n) for which, n in (("_toxic", TOXIC_SAMPLE), ("not _toxic", ORDINARY_SAMPLE))]
     chosen = chosen[0].unionByName(chosen[1])  # at most TOXIC_SAMPLE + ORDINARY_SAMPLE rows
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .join(F.broadcast(chosen), "_id")
-        .where("_text is not null")
-        .collect()
-    )
-    rows.sort(key=lambda r: (zlib.crc32(str(r["_id"]).encode()), r["_id"], r["_text"]))
-    return fit(*(apart([r["_text"] for r in rows if r["_toxic"] == toxic]) for toxic in (True, False)))
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where("_text is not null")
+    rows = rows.join(F.broadcast(chosen), "_id").groupBy("_id", "_toxic").agg(F.min("_text").alias("_text"))
+    rows = materialize(rows.select("_id", "_toxic", "_text", place.alias("_place")), "labelled")
+    so_far = Window.orderBy("_place", "_id")  # over as many rows as are chosen
+    fits = rows.select("_id", F.sum(F.octet_length("_text")).over(so_far).alias("_bytes")).where(F.col("_bytes") <= SAMPLE_BYTES)
+    texts = rows.join(F.broadcast(fits.select("_id")), "_id").orderBy("_place", "_id").collect()
+    return fit(*(apart([r["_text"] for r in texts if r["_toxic"] == toxic]) for toxic in (True, False)))
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
@@ -278,9 +309,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
             columns = [part.column(i) for i in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(score_texts(texts, model), pa.float64())], [*names, out_col])
 
-    keep = [i for i, c in enumerate(docs.columns) if c != out_col]
+    keep = other_columns(docs, out_col)
     names = [docs.columns[i] for i in keep]
-    schema = T.StructType([f for f in docs.schema.fields if f.name != out_col] + [T.StructField(out_col, T.DoubleType())])
+    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.DoubleType())])
     return small_batches(docs).mapInArrow(run, schema)
 
 
@@ -289,7 +320,7 @@ def op1_toxicity(spark, sf_dir: str) -> DataFrame:
     model = learn(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return score(docs, model).select(
         "doc_id",
-        (id_fold(F.col("doc_id")) == 0).alias("held_out"),
+        F.coalesce(id_fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
