@@ -6,22 +6,25 @@ hashes of every document window are built from pairwise hashes of power-of-two
 lengths, so a window of ten words costs four hash steps per position, not ten.
 Document windows are exploded and probe the set inside one generated stage.
 Each probe that meets the set is verified word by word, so a hash collision
-never counts.
+never counts.  The set holds a window's hash and words, of bounded size, and not whose
+it is: that is looked up for the windows that were met.
 
 The set is broadcast only while it has at most ``broadcast_windows`` distinct
 windows; a larger benchmark is split by hash into blocks of that bound and every
 block scans the documents in turn, so memory stays bounded and results whole.
 
 Defined results: null and empty texts have no words and no hits; items without
-words give no window; repeated items each count; repeated document rows give
-repeated results; extra columns pass through :func:`decontaminate`.
+words give no window; items that share an id are one, and items without an id count
+as one more that is not in the list; null document ids are kept; repeated document
+rows give repeated results; empty tables give empty results or no hits; extra
+columns pass through :func:`decontaminate`, whatever they are called.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwing.llm._common import materialize, parted, read_table, slot, text_or_empty
@@ -76,19 +79,19 @@ def _with_window_hashes(rows: DataFrame, lengths: list[int]) -> DataFrame:
 
 
 def windows_of(benchmark: DataFrame, text_col: str, id_col: str, window: int) -> DataFrame:
-    """``h, n, gram, items``: each distinct benchmark window and whose it is."""
+    """``n, gram, item``: each benchmark item's distinct windows."""
     w = benchmark.select(F.col(id_col).cast("string").alias("item"), words(F.col(text_col)).alias("w")).where(F.size("w") > 0)
     w = w.withColumn("n", F.least(F.size("w"), F.lit(window)))
     grams = w.select(
         "item", "n", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("n") + 1), lambda i: F.slice("w", i, F.col("n")))).alias("gram")
     )
-    return grams.groupBy("n", "gram").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return grams.distinct()
 
 
 def _hashed(grams: DataFrame, lengths: list[int]) -> DataFrame:
     rows = _with_window_hashes(grams.withColumn("wh", F.transform("gram", lambda x: F.xxhash64(x))), lengths)
     h = F.coalesce(*[F.when(F.col("n") == n, F.element_at(f"h{n}", 1)) for n in lengths])
-    return rows.select("n", h.alias("h"), "gram", "items")
+    return rows.select("n", h.alias("h"), "gram")
 
 
 def hits(
@@ -101,13 +104,15 @@ def hits(
     window: int = WINDOW,
     broadcast_windows: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, text_hash, n_words, n_hit, items, spans``.
+    """Per row of ``docs``: ``doc_id, text_hash, n_words, n_hit, items, unnamed, spans``.
 
     ``spans`` are merged word ranges ``(start, end)`` (0-based, end exclusive).
     Rows that agree in id and text hash to the same result and come once, with
-    ``copies`` telling how many there were.
+    ``copies`` telling how many there were.  ``unnamed``: an item without an id is
+    among those found.
     """
-    grams = materialize(windows_of(benchmark, item_text_col, item_id_col, window), "windows")
+    owners = materialize(windows_of(benchmark, item_text_col, item_id_col, window), "owners")
+    grams = materialize(owners.select("n", "gram").distinct(), "windows")
     shape = grams.groupBy("n").count().orderBy("n").collect()  # at most ``window`` rows
     lengths, size = [r["n"] for r in shape], sum(r["count"] for r in shape)
     blocks = max(1, -(-size // broadcast_windows))
@@ -134,43 +139,44 @@ def hits(
         rows = rows.select("doc_id", "text_hash", "w", F.explode_outer("probes").alias("p"))
         rows = rows.select("doc_id", "text_hash", "w", F.col("p.n").alias("n"), F.col("p.at").alias("at"), F.col("p.h").alias("h"))
         always = docs.sparkSession.range(1).select(
-            F.lit(0).alias("known_n"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<string>").alias("gram"), F.array().cast("array<string>").alias("items")
+            F.lit(0).alias("known_n"), F.lit(0).cast("bigint").alias("h"), F.array().cast("array<string>").alias("gram")
         )
         known = always
         if hashed is not None:
             mine = hashed.where(F.pmod("h", F.lit(blocks)) == b) if blocks > 1 else hashed
-            known = always.unionByName(mine.select(F.col("n").alias("known_n"), "h", "gram", "items"))
+            known = always.unionByName(mine.select(F.col("n").alias("known_n"), "h", "gram"))
         verified = F.when(F.col("at") < 0, F.col("known_n") == 0).otherwise(
             (F.col("known_n") == F.col("n")) & (F.slice("w", F.greatest(F.col("at"), F.lit(0)) + 1, F.col("n")) == F.col("gram"))
         )
         met = rows.join(F.broadcast(known), "h").where(verified)
-        found.append(met.select("doc_id", "text_hash", F.when(F.col("at") < 0, F.size("w")).alias("n_words"), "at", "n", "items"))
-    met = reduce(DataFrame.unionByName, found)
-    hit = F.when(F.col("at") >= 0, F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")))
+        found.append(met.select("doc_id", "text_hash", F.when(F.col("at") < 0, F.size("w")).alias("n_words"), "at", "n", F.when(F.col("at") >= 0, F.col("gram")).alias("gram")))
+    met = materialize(reduce(DataFrame.unionByName, found), "hits")
+    key = ["doc_id", "text_hash"]
     # Several blocks give a document several markers: n_words is their common
     # value, and the copies are counted on the markers of one block.
-    grouped = met.groupBy("doc_id", "text_hash").agg(
-        F.max("n_words").cast("long").alias("n_words"),
-        (F.count_if(F.col("at") < 0) / blocks).cast("long").alias("copies"),
-        F.sort_array(F.collect_set(hit)).alias("hits"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    )
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    last = lambda a: F.element_at(a, -1)
-
-    def merge(acc: Column, x: Column) -> Column:
-        grown = F.struct(acc["cur"]["start"].alias("start"), F.greatest(acc["cur"]["end"], x["end"]).alias("end"))
-        touches = acc["cur"].isNotNull() & (x["start"] <= acc["cur"]["end"])
-        return (
-            F.when(touches, F.struct(acc["out"].alias("out"), grown.alias("cur")))
-            .otherwise(F.struct(F.when(acc["cur"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["cur"]))).alias("out"), x.alias("cur")))
+    words_ = met.where("at < 0").groupBy(*key).agg(F.max("n_words").cast("long").alias("n_words"), (F.count(F.lit(1)) / blocks).cast("long").alias("copies"))
+    # A span begins where a hit starts beyond every end before it.
+    hit = met.where("at >= 0").select(*key, F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end")).distinct()
+    ordered = Window.partitionBy(*key).orderBy("start", "end")
+    ended = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    hit = hit.withColumn("first", ended.isNull() | (F.col("start") > ended)).withColumn("span", F.count_if("first").over(ordered))
+    spans = hit.groupBy(*key, "span").agg(F.min("start").alias("start"), F.max("end").alias("end")).select(*key, F.struct("start", "end").alias("span"))
+    # Whose the windows are is asked only for those that were met: a window of many
+    # items is neither broadcast nor held with every hit.
+    seen = met.where("at >= 0").select(*key, "n", "gram").distinct()
+    items = seen.join(owners, ["n", "gram"]).select(*key, "item", F.lit(True).alias("owned")).distinct()
+    every = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [words_, spans, items])
+    return (
+        every.groupBy(*key)
+        .agg(
+            F.max("n_words").alias("n_words"),
+            F.max("copies").alias("copies"),
+            F.sort_array(F.collect_set("item")).alias("items"),
+            F.coalesce(F.max(F.col("owned") & F.col("item").isNull()), F.lit(False)).alias("unnamed"),
+            F.sort_array(F.collect_list("span")).alias("spans"),
         )
-
-    start = F.struct(none.alias("out"), F.lit(None).cast("struct<start:int,end:int>").alias("cur"))
-    spans = F.aggregate("hits", start, merge, lambda a: F.when(a["cur"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(a["cur"]))))
-    return grouped.select(
-        "doc_id", "text_hash", "n_words", "copies", "items", spans.alias("spans"),
-    ).withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"]))
+        .withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["start"]))
+    )
 
 
 def decontaminate(
@@ -232,7 +238,7 @@ def op4_decontamination(spark, sf_dir: str) -> DataFrame:
         "doc_id",
         "n_words",
         "n_hit",
-        F.size("items").cast("long").alias("n_items"),
+        (F.size("items") + F.col("unnamed").cast("int")).cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
