@@ -13,18 +13,21 @@ found when the model is built (each entry is encoded alone) and looked up whole.
 Decoding maps ids back to pieces and pieces back to bytes.
 
 Defined results: null is empty text, which has no ids and decodes to no bytes;
-texts of any length are encoded whole; repeated rows give repeated results.
+texts of any length are encoded whole; repeated rows give repeated results; null ids
+are kept; an empty table gives an empty result; extra columns are kept unless called,
+in whatever case, like an output.
 """
 
 from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, IntegerType, StructField, StructType
 
 from lapwing.llm._common import batches_of, give_back, other_columns, read_table, small_batches, tokenizer_path
 from lapwing.llm._units import UnitTable
@@ -203,70 +206,67 @@ def _text_cost(column) -> list[int]:
     return [n or 0 for n in pc.binary_length(column).to_pylist()]
 
 
-def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", rank_file: str = RANK_FILE) -> DataFrame:
-    """``docs`` and an ``array<int>`` of ids."""
-    from pyspark.sql import types as T
+def append(df: DataFrame, column: str, outputs: list[tuple[str, DataType]], values: Callable, cost: Callable = _text_cost) -> DataFrame:
+    """``df`` and further columns: ``values`` makes arrays of them, one an output,
+    from an array of ``column``.  Other columns pass through whatever their names,
+    but those called like an output, in whatever case, go."""
+    keep, at = other_columns(df, *[n for n, _ in outputs]), df.columns.index(column)
+    fields = [df.schema.fields[i] for i in keep] + [StructField(n, t) for n, t in outputs]
+    plain = [f"c{i}" for i in range(len(fields))]  # a name with a dot is no name to Spark here
 
     def run(batches):
         import pyarrow as pa
 
-        bpe = coder(tokenizer_path(rank_file))
-        for part in _rows(batches, text_col, _text_cost):
-            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-            columns = [part.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, _ids_array(bpe.encode(texts))], [*names, out_col])
+        for part in _rows(batches, f"c{at}", cost):
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], *values(part.column(at))], plain)
+
+    schema = StructType([StructField(c, f.dataType) for c, f in zip(plain, fields)])
+    rows = small_batches(df).toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return rows.mapInArrow(run, schema).toDF(*[f.name for f in fields])
+
+
+def encode(docs: DataFrame, text_col: str = "text", out_col: str = "ids", rank_file: str = RANK_FILE) -> DataFrame:
+    """``docs`` and an ``array<int>`` of ids."""
+
+    def ids(texts):
+        return [_ids_array(coder(tokenizer_path(rank_file)).encode(texts.to_pylist()))]
 
-    keep = other_columns(docs, out_col)
-    names = [docs.columns[i] for i in keep]
-    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.ArrayType(T.IntegerType()))])
-    return small_batches(docs).mapInArrow(run, schema)
+    return append(docs, text_col, [(out_col, ArrayType(IntegerType()))], ids)
 
 
 def decode(rows: DataFrame, ids_col: str = "ids", out_col: str = "decoded", rank_file: str = RANK_FILE) -> DataFrame:
     """``rows`` and the bytes that the ids stand for."""
-    from pyspark.sql import types as T
 
-    def run(batches):
+    def lengths(column) -> list[int]:
+        import pyarrow.compute as pc
+
+        return [n or 0 for n in pc.list_value_length(column).to_pylist()]
+
+    def texts(column):
         import numpy as np
         import pyarrow as pa
-        import pyarrow.compute as pc
 
-        inverse = decoder(tokenizer_path(rank_file))
-        for part in _rows(batches, ids_col, lambda c: [8 * (n or 0) for n in pc.list_value_length(c).to_pylist()]):
-            column = part.column(part.schema.get_field_index(ids_col))
-            size = np.array([n or 0 for n in pc.list_value_length(column).to_pylist()], np.int64)
-            texts = inverse.decode_all(column.flatten().to_numpy(zero_copy_only=False), np.cumsum(size))
-            columns = [part.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], [*names, out_col])
+        ids = column.flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(np.array(lengths(column), np.int64))
+        return [pa.array(decoder(tokenizer_path(rank_file)).decode_all(ids, ends), pa.binary())]
 
-    keep = other_columns(rows, out_col)
-    names = [rows.columns[i] for i in keep]
-    schema = T.StructType([rows.schema.fields[i] for i in keep] + [T.StructField(out_col, T.BinaryType())])
-    return small_batches(rows).mapInArrow(run, schema)
+    return append(rows, ids_col, [(out_col, BinaryType())], texts, lambda c: [8 * n for n in lengths(c)])
 
 
 def round_trip(docs: DataFrame, text_col: str = "text", rank_file: str = RANK_FILE) -> DataFrame:
     """``docs`` with ``ids`` and ``decoded``: :func:`encode` and :func:`decode` in
     one pass, so that the ids go to Python and back once."""
-    from pyspark.sql import types as T
 
-    def run(batches):
+    def both(texts):
         import numpy as np
         import pyarrow as pa
 
         path = tokenizer_path(rank_file)
-        bpe, inverse = coder(path), decoder(path)
-        for part in _rows(batches, text_col, _text_cost):
-            coded = bpe.encode(part.column(part.schema.get_field_index(text_col)).to_pylist())
-            ends = np.cumsum([len(c) // 4 for c in coded])
-            texts = inverse.decode_all(np.frombuffer(b"".join(coded), "<i4"), ends)
-            columns = [part.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, _ids_array(coded), pa.array(texts, pa.binary())], [*names, "ids", "decoded"])
-
-    keep = other_columns(docs, "ids", "decoded")
-    names = [docs.columns[i] for i in keep]
-    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())])
-    return small_batches(docs).mapInArrow(run, schema)
+        coded = coder(path).encode(texts.to_pylist())
+        ends = np.cumsum([len(c) // 4 for c in coded])
+        return [_ids_array(coded), pa.array(decoder(path).decode_all(np.frombuffer(b"".join(coded), "<i4"), ends), pa.binary())]
+
+    return append(docs, text_col, [("ids", ArrayType(IntegerType())), ("decoded", BinaryType())], both)
 
 
 def digests(rows: DataFrame) -> DataFrame:

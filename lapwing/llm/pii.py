@@ -16,15 +16,18 @@ except right after a match), so a long run costs linear time and no deep stack.
 
 Defined results: null and empty texts have no spans; spans never overlap within a
 kind; a span's end is exclusive; repeated rows give repeated results; extra
-columns are kept by :func:`detect` unless they are called like its output.
+columns are kept by :func:`detect` unless they are called, in whatever case, like
+its output; null ids are kept; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import read_table, text_or_empty
+from lapwing.llm._common import other_columns, read_table, text_or_empty
 
 CONTEXT_CHARS = 40
 THRESHOLD = 0.5
@@ -110,17 +113,17 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _prefix_sums(lengths: Column) -> Column:
-    """For each element the sum of those before it, in blocks (see ``_BLOCK``)."""
-    block = F.lit(_BLOCK)
+def _scan(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """For each element what ``join`` makes of 0 and all before it, in blocks (see
+    ``_BLOCK``)."""
+    block, zero = F.lit(_BLOCK), F.lit(0).cast("bigint")
     none = F.array().cast("array<bigint>")
 
     def scan(xs: Column, from_: Column) -> Column:
-        zero = F.struct(from_.cast("bigint").alias("at"), none.alias("out"))
         return F.aggregate(
             xs,
-            zero,
-            lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
+            F.struct(from_.cast("bigint").alias("at"), none.alias("out")),
+            lambda a, x: F.struct(join(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")),
         )
 
     def blocks(xs: Column) -> Column:
@@ -129,12 +132,15 @@ def _prefix_sums(lengths: Column) -> Column:
             lambda b: F.slice(xs, b * block + 1, block),
         )
 
-    zero = F.lit(0).cast("bigint")
-    parts = blocks(lengths)
-    sums = F.transform(parts, lambda p: F.aggregate(p, zero, lambda a, x: a + x))
-    offsets = scan(sums, zero)["out"]
-    chunked = F.flatten(F.zip_with(parts, offsets, lambda p, o: scan(p, o)["out"]))
-    return F.when(F.size(lengths) <= _BLOCK, scan(lengths, zero)["out"]).otherwise(chunked)
+    parts = blocks(values)
+    whole = F.transform(parts, lambda p: F.aggregate(p, zero, lambda a, x: join(a, x)))
+    chunked = F.flatten(F.zip_with(parts, scan(whole, zero)["out"], lambda p, o: scan(p, o)["out"]))
+    return F.when(F.size(values) <= _BLOCK, scan(values, zero)["out"]).otherwise(chunked)
+
+
+def _prefix_sums(lengths: Column) -> Column:
+    """For each element the sum of those before it."""
+    return _scan(lengths, lambda a, x: a + x)
 
 
 def _proposals(text: Column, kind: str) -> Column:
@@ -169,13 +175,21 @@ def _proposals(text: Column, kind: str) -> Column:
 def detect(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
     """``docs`` and a column of spans ordered by kind (as in ``KINDS``), then start."""
     text = text_or_empty(F.col(text_col))
-    return docs.withColumn(out_col, F.concat(*[_proposals(text, k) for k in KINDS]))
+    kept = [F.col(f"`{docs.columns[i]}`") for i in other_columns(docs, out_col)]
+    return docs.select(*kept, F.concat(*[_proposals(text, k) for k in KINDS]).alias(out_col))
 
 
 def mask(text: Column, spans: Column) -> Column:
-    """The text with every matched string replaced by its kind, longest first."""
-    ordered = F.array_sort(spans, lambda a, b: F.length(b["text"]) - F.length(a["text"]))
-    return F.aggregate(ordered, text, lambda t, s: F.replace(t, s["text"], F.concat(F.lit("<"), s["kind"], F.lit(">"))))
+    """The text with every span replaced by its kind.  Spans that overlap are one,
+    of the kind that starts first (of those, the longest).  Null stays null."""
+    ordered = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("end"), s["kind"].alias("kind"))))
+    ends = F.transform(ordered, lambda s: -s["end"])
+    rows = F.zip_with(ordered, _scan(ends, F.greatest), lambda s, b: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), b.alias("before")))
+    rows = F.filter(rows, lambda r: r["start"] >= r["before"])
+    cut = lambda start, end: F.substr(text, (start + 1).cast("int"), (end - start).cast("int"))
+    pieces = F.transform(rows, lambda r: F.concat(cut(r["before"], r["start"]), F.lit("<"), r["kind"], F.lit(">")))
+    rest = F.substr(text, (F.array_max(ends) + 1).cast("int"))
+    return F.when(F.size(spans) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(text)
 
 
 def _listing(spans: Column) -> Column:

@@ -20,7 +20,8 @@ whose size is fixed.  Labels are learnt from rows whose crc32(id) mod 5 is not 0
 Defined results: null and empty texts have no n-gram and log weight 0; null ids are
 scored and drawn like others; labels that are null are skipped, of conflicting ones
 the lowest counts; without good labelled texts all weights are 0 and the share is 1;
-repeated rows share a key; an empty table gives an empty result.
+repeated rows share a key; an empty table gives an empty result; extra columns are not
+looked at, whatever they are called.
 """
 
 from __future__ import annotations

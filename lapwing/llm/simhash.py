@@ -24,7 +24,8 @@ distinct fingerprints, so the refinement ends by itself and drops nothing.
 Defined results: null and empty texts have fingerprint zero and link with each
 other like any other text; fewer words than a shingle make one shingle; repeated
 rows share a component; null ids take part but never name a component that has
-another id; extra columns are ignored.
+another id; an empty table gives an empty result; extra columns are ignored, whatever
+they are called.  :func:`near_deduplicate` keeps them.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ A unit of text with the spelling of an added token in it is counted by the
 library, which by default takes that spelling for the token.
 
 Defined results: null is empty text, no bytes and no tokens; texts are counted
-whole, without truncation; repeated rows give repeated results.
+whole, without truncation; repeated rows give repeated results; null ids are kept; an
+empty table gives an empty result; extra columns are kept unless called, in whatever
+case, like the output.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from lapwing.llm._common import other_columns, read_table, small_batches, text_or_empty, tokenizer_path
+from lapwing.llm._common import read_table, text_or_empty, tokenizer_path
 from lapwing.llm._units import UnitTable
-from lapwing.llm.byte_bpe import _pattern, _rows, _text_cost
+from lapwing.llm.byte_bpe import _pattern, append
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 1024
@@ -95,21 +98,13 @@ def counter(path: str) -> Counter:
 
 def count_tokens(docs: DataFrame, text_col: str = "text", out_col: str = "n_tokens", tokenizer: str = TOKENIZER) -> DataFrame:
     """``docs`` and the number of tokens of each text."""
-    from pyspark.sql import types as T
 
-    def run(batches):
+    def counts(texts):
         import pyarrow as pa
 
-        c = counter(tokenizer_path(tokenizer))
-        for part in _rows(batches, text_col, _text_cost):
-            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-            columns = [part.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(c.count(texts), pa.int64())], [*names, out_col])
+        return [pa.array(counter(tokenizer_path(tokenizer)).count(texts.to_pylist()), pa.int64())]
 
-    keep = other_columns(docs, out_col)
-    names = [docs.columns[i] for i in keep]
-    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.LongType())])
-    return small_batches(docs).mapInArrow(run, schema)
+    return append(docs, text_col, [(out_col, LongType())], counts)
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:

@@ -41,9 +41,10 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from lapwing.llm._common import id_fold, materialize, other_columns, read_table, small_batches
-from lapwing.llm.byte_bpe import _rows, _text_cost
+from lapwing.llm._common import id_fold, materialize, read_table
+from lapwing.llm.byte_bpe import append
 
 TOXIC_SAMPLE = 2000
 ORDINARY_SAMPLE = 6000
@@ -299,20 +300,13 @@ def learn(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: st
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` and a score from 0 to 1 for each whole text."""
-    from pyspark.sql import types as T
 
-    def run(batches):
+    def scores(texts):
         import pyarrow as pa
 
-        for part in _rows(batches, text_col, _text_cost):
-            texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
-            columns = [part.column(i) for i in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(score_texts(texts, model), pa.float64())], [*names, out_col])
+        return [pa.array(score_texts(texts.to_pylist(), model), pa.float64())]
 
-    keep = other_columns(docs, out_col)
-    names = [docs.columns[i] for i in keep]
-    schema = T.StructType([docs.schema.fields[i] for i in keep] + [T.StructField(out_col, T.DoubleType())])
-    return small_batches(docs).mapInArrow(run, schema)
+    return append(docs, text_col, [(out_col, DoubleType())], scores)
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:
