@@ -262,6 +262,8 @@ NEAR_FROM = 0.8
 #: Texts whose shingles are counted to tell the frequent ones, and how many of
 #: those are remembered.
 _SAMPLE, _FREQUENT = 8000, 100_000
+#: 64-bit words of a set's parities.
+_WORDS = 8
 _EMPTY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -323,9 +325,26 @@ def _frequent_shingles(texts: DataFrame):
     return h[order], np.array([r["c"] for r in top], np.int64)[order]
 
 
+def parities(sets: list):
+    """For each set of hashes ``_WORDS`` words of 64 bits: whether the hashes that
+    fall on a bit are odd in number.  Two sets' bits differ in at most as many
+    places as there are hashes that only one of the sets has."""
+    size = np.array([len(x) for x in sets], np.int64)
+    width = 64 * _WORDS
+    place = np.repeat(np.arange(len(sets)), size) * width + (np.concatenate(sets) >> np.uint64(7)).astype(np.int64) % width
+    odd = (np.bincount(place, minlength=len(sets) * width) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(sets), width), axis=1, bitorder="little").view("<i8")
+
+
+def _most_unlike(threshold: float) -> float:
+    """The share of two sizes' sum that so similar sets can differ in, at most."""
+    return (1 - threshold) / (1 + threshold)
+
+
 def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
-    """``node, doc_id, n, prefix``: how many shingles a text has, and its rarest
-    ones, so many that two texts of that similarity have one in common."""
+    """``node, doc_id, n, prefix, bits``: how many shingles a text has, its rarest
+    ones, so many that two texts of that similarity have one in common, and the
+    parities of all."""
     frequent, count = _frequent_shingles(texts)
 
     def run(batches):
@@ -348,9 +367,10 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
             first = every[order[place < np.repeat(length, size)]]
             cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix], ["node", "doc_id", "n", "prefix"])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * _WORDS), pa.array(parities(sets).reshape(-1)))
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix, bits], ["node", "doc_id", "n", "prefix", "bits"])
 
-    return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>")
+    return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>, bits array<long>")
 
 
 #: Bytes of texts that a part of the pairs needs, and pairs in it, about.
@@ -407,20 +427,21 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def _pairs_across(threshold: float):
-    """Rows ``h, node, n, root, pos``, sorted by ``h, n``, to the pairs of one ``h``
-    that have different roots and whose sizes, and shingles from ``h`` on, allow the
-    similarity if ``h`` is the first that they share."""
+    """Rows ``h, node, n, root, pos, bits``, sorted by ``h, n``, to the pairs of one
+    ``h`` that have different roots and whose sizes, parities, and shingles from ``h``
+    on, allow the similarity if ``h`` is the first that they share."""
 
-    def pairs(node, n, root, pos):
+    def pairs(node, n, root, pos, bits):
         import pyarrow as pa
 
         out, have = [], 0
         stop = np.searchsorted(n, np.floor(n / threshold + 1e-6), "right")
         for i in range(len(node) - 1):
-            rest = slice(i + 1, int(stop[i]))
-            most = np.minimum(n[i] - pos[i], n[rest] - pos[rest])
-            fits = most >= (n[i] + n[rest]) * (threshold / (1 + threshold)) - 1e-6
-            other = node[rest][(root[rest] != root[i]) & fits]
+            rest = i + 1 + np.flatnonzero(root[i + 1 : stop[i]] != root[i])
+            both = n[i] + n[rest]
+            rest = rest[np.minimum(n[i] - pos[i], n[rest] - pos[rest]) >= both * (threshold / (1 + threshold)) - 1e-6]
+            unlike = np.bitwise_count((bits[i] ^ bits[rest]).view(np.uint64)).sum(axis=1)  # of signed ones it counts the magnitude
+            other = node[rest[unlike <= (n[i] + n[rest]) * _most_unlike(threshold) + 1e-6]]
             out.append((np.minimum(node[i], other), np.maximum(node[i], other)))
             have += len(other)
             if have and (have >= 100_000 or i == len(node) - 2):
@@ -430,15 +451,17 @@ def _pairs_across(threshold: float):
     def run(batches):
         held = None
         for batch in batches:
-            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)])
+            rows = np.concatenate(
+                [np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]), batch.column(5).flatten().to_numpy(zero_copy_only=False).reshape(-1, _WORDS).T]
+            )
             held = rows if held is None else np.concatenate([held, rows], axis=1)
             cuts = np.flatnonzero(held[0, 1:] != held[0, :-1]) + 1
             for lo, hi in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
-                yield from pairs(*held[1:, lo:hi])
+                yield from pairs(*held[1:5, lo:hi], np.ascontiguousarray(held[5:, lo:hi].T))
             if len(cuts):
                 held = held[:, cuts[-1] :]
         if held is not None:
-            yield from pairs(*held[1:])
+            yield from pairs(*held[1:5], np.ascontiguousarray(held[5:].T))
         give_back()
 
     return run
@@ -449,20 +472,31 @@ def near_links(texts: DataFrame, prefixes: DataFrame, threshold: float) -> DataF
     which connect all that such links connect.
 
     Similar texts meet at a shingle of both their prefixes.  There each is first
-    compared with one of them; that joins large groups of copies.  Then every pair
-    that no link found so far connects is compared."""
+    compared with one of them, another one at each shingle; that joins large groups
+    of copies.  Then every pair that no link found so far connects is compared.
+    Before whole sets are, sizes, places and parities tell what cannot be similar;
+    what they leave are mostly links, so it does not grow with the square of those
+    that share a passage."""
     bucket = Window.partitionBy("h")
     shared = prefixes.select(F.posexplode("prefix").alias("pos", "h"), "node", "n")
-    shared = shared.withColumns({"first": F.min(F.struct("node", "n", "pos")).over(bucket), "last": F.max("node").over(bucket)})
-    shared = materialize(shared.where("first.node != last").drop("last"), "shared")
+    lead = F.min(F.struct(F.xxhash64("node", "h").alias("x"), "node", "n", "pos")).over(bucket)
+    shared = shared.withColumns({"first": lead, "low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low != high")
+    shared = materialize(shared.select("h", "pos", "node", "n", F.struct("first.node", "first.n", "first.pos").alias("first")), "shared")
+    bits = materialize(prefixes.select("node", "n", "bits").dropDuplicates(["node"]), "parities")
     most = F.least(F.col("n") - F.col("pos"), F.col("first.n") - F.col("first.pos"))
     fits = most >= (F.col("n") + F.col("first.n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
-    star = shared.where((F.col("node") != F.col("first.node")) & fits).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+    ends = F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b")
+    star = shared.where((F.col("node") != F.col("first.node")) & fits).select(*ends).distinct()
+    for end in ("a", "b"):
+        star = star.join(bits.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")), end)
+    unlike = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    star = materialize(star.where(unlike <= (F.col("a_n") + F.col("b_n")) * _most_unlike(threshold) + 1e-6).select("a", "b"), "star")
     links = _verified(star, texts, threshold)
     groups = materialize(components(links), "star-groups")
-    rooted = shared.join(groups, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root"), F.col("pos").cast("long").alias("pos"))
+    rooted = shared.drop("first").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = rooted.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).where("low != high")
-    rest = rooted.select("h", "node", "n", "root", "pos").repartition("h").sortWithinPartitions("h", "n")
+    rest = rooted.select("h", "node", "n", "root", F.col("pos").cast("long").alias("pos")).join(bits.select("node", "bits"), "node")
+    rest = rest.select("h", "node", "n", "root", "pos", "bits").repartition("h").sortWithinPartitions("h", "n")
     across = rest.mapInArrow(_pairs_across(threshold), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
     return links.unionByName(_verified(across, texts, threshold))
 
