@@ -47,16 +47,20 @@ def is_final(state: Column) -> Column:
     return state.isin(FINAL)
 
 
-def graph_problems(spark: SparkSession) -> DataFrame:
-    """Moves to unknown states, and final states that can be left."""
-    e = edges(spark)
-    states = spark.createDataFrame([(s, s in FINAL) for s in {*TRANSITIONS, *FINAL}], "state string, final boolean")
-    unknown = e.join(states, "state", "left_anti").select("state", F.lit("unknown_target").alias("problem"))
-    left = e.join(states.where("final").select(F.col("state").alias("previous")), "previous", "left_semi")
-    dead = states.where("not final").join(e.select(F.col("previous").alias("state")), "state", "left_anti")
-    return unknown.unionByName(left.select(F.col("previous").alias("state"), F.lit("final_can_be_left").alias("problem"))).unionByName(
-        dead.select("state", F.lit("no_way_out").alias("problem"))
-    )
+def state_table(spark: SparkSession) -> DataFrame:
+    """The states, and whether they are final."""
+    return spark.createDataFrame([(s, s in FINAL) for s in {*TRANSITIONS, *FINAL}], "state string, final boolean")
+
+
+def graph_problems(moves: DataFrame, states: DataFrame) -> DataFrame:
+    """Moves (``previous, state``) to states that are none of ``states`` (``state,
+    final``), final states that can be left, and others that cannot."""
+    target = moves.select("state").distinct()
+    leave = moves.select(F.col("previous").alias("state")).distinct()
+    unknown = target.join(states, "state", "left_anti").select("state", F.lit("unknown_target").alias("problem"))
+    left = states.where("final").join(leave, "state", "left_semi").select("state", F.lit("final_can_be_left").alias("problem"))
+    dead = states.where("not final").join(leave, "state", "left_anti").select("state", F.lit("no_way_out").alias("problem"))
+    return unknown.unionByName(left).unionByName(dead)
 
 
 def transition_violations(states: DataFrame, keys: Sequence[str], order: str, budgets: dict[str, int]) -> DataFrame:
@@ -134,6 +138,15 @@ def repeated_refs(df: DataFrame, keys: Sequence[str], full: Sequence[str], diges
     ).where("repeated_refs > 0 or repeated_digests > 0")
 
 
+def forbidden_nodes(df: DataFrame, doc: str, keys: Sequence[str] = ("token", "secret", "page"), value: str = "bearer ") -> DataFrame:
+    """A row for every node of a JSON document whose key is forbidden, or whose value
+    holds the forbidden text, in whatever case: ``path, value``."""
+    from lapwing.functions.nested import JsonNodes
+
+    nodes = df.lateralJoin(JsonNodes(F.col(doc).outer()))
+    return nodes.where(F.col("path").rlike(rf"(?i)\.(?:{'|'.join(keys)})$") | (F.col("kind") == "str") & F.lower("value").contains(value))
+
+
 def distinct_parties(df: DataFrame, key: str, parties: Sequence[Column]) -> DataFrame:
     """Whether the parties of a row (identities) are all different."""
     return df.select(key, (F.size(F.array_distinct(F.array(*parties))) == len(parties)).alias("independent"))

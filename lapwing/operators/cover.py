@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,16 +76,20 @@ def anchor_text(block_top: Column, block_bottom: Column, y: Column, ref_top: Col
     return F.when(apart, F.bround((ref_top + ref_bottom) / 2).cast("int")).otherwise(y)
 
 
-def recover_gaps(lines: DataFrame, readers: Sequence[tuple[DataFrame, int]], keys: Sequence[str]) -> DataFrame:
+def recover_gaps(lines: DataFrame, readers: Sequence[tuple[DataFrame, int]], keys: Sequence[str], merge: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Lines with what each reader in turn finds in the gaps that are still longer
-    than its limit, accepted by middle and cut to the gap."""
+    than its limit, accepted by middle and cut to the gap; ``merge`` is applied to
+    the lines after each reader.
+
+    A key's gaps are disjoint, so the one that holds a middle is the last to begin
+    before it: one sort of both, no pairs."""
     for found, least in readers:
-        gaps = iv.internal_gaps(lines, keys, least=least)
-        pairs = found.join(gaps, list(keys))
-        middle2 = F.col("start") + F.col("end")
-        new = pairs.where((middle2 > 2 * F.col("gap_start")) & (middle2 < 2 * F.col("gap_end")))
+        gaps = iv.internal_gaps(lines, keys, least=least).select(*keys, (2 * F.col("gap_start")).alias("_gap"), "gap_start", "gap_end")
+        new = iv.as_of(found.withColumn("_middle", F.col("start") + F.col("end")), gaps, keys, "_middle", "_gap", "_gap")
+        new = new.join(gaps, [*keys, "_gap"]).where((F.col("_middle") > F.col("_gap")) & (F.col("_middle") < 2 * F.col("gap_end")))
         new = new.withColumns({"start": F.greatest("start", "gap_start"), "end": F.least("end", "gap_end")})
         lines = lines.unionByName(new.select(*lines.columns))
+        lines = merge(lines) if merge else lines
     return lines
 
 

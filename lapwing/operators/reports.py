@@ -76,17 +76,6 @@ def merge_candidates(df: DataFrame, keys: Sequence[str], tolerance: int) -> Data
     return iv.islands(df, keys, tolerance=tolerance, extra=extra).drop("island", "members")
 
 
-def audit_until_clean(spans: DataFrame, keys: Sequence[str], score: str, threshold: float, passes: int) -> tuple[DataFrame, DataFrame]:
-    """What ``passes`` rounds of cutting the spans over a threshold remove, each
-    round a little stricter, and what is left over it afterwards."""
-    cut, left = None, spans
-    for k in range(passes):
-        over = left.where(F.col(score) >= threshold + k * 0.05).withColumn("pass", F.lit(k + 1))
-        cut = over if cut is None else cut.unionByName(over)
-        left = left.where(F.col(score) < threshold + k * 0.05)
-    return cut, left.where(F.col(score) >= threshold)
-
-
 def nearest_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key, which is what is asked for."""
     w = Window.partitionBy(*keys).orderBy(*order)

@@ -14,6 +14,7 @@ MODULES = [
     "io_queries",
     "cover_queries",
     "more_queries",
+    "evidence_queries",
 ]
 
 

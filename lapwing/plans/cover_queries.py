@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lapwing.datasets import BOXES_SQL, DIALOGUE_SQL, INTERVALS_SQL, boxes, dialogue, intervals, table
 from lapwing.functions import hashing as hs
 from lapwing.functions import text as tx
 from lapwing.functions.geometry import Box
-from lapwing.operators import cover, folds
+from lapwing.operators import constraints as cs
+from lapwing.operators import cover, folds, timeline
 from lapwing.operators import intervals as iv
 from lapwing.operators import joins as jn
 from lapwing.operators import reports as rp
@@ -119,11 +121,29 @@ def i34_i37_accepted_lines(spark, sf_dir):
     return cover.recover_gaps(view, [(click, DAY)], ["key"]).where("kind = 'click'").select("key", "ord", "start", "end")
 
 
-@query("i38_recover_twice")
+_RECOVER_SQL = """{src}_r AS (SELECT key, s, max(e) OVER (PARTITION BY key ORDER BY s, e, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM {src}),
+    {src}_g AS (SELECT key, reach AS a, s AS b FROM {src}_r WHERE s - reach > {least}),
+    {out}_all AS (SELECT key, ord, s, e FROM {src} UNION ALL SELECT c.key, c.ord, greatest(c.s, a), least(c.e, b) FROM iv c JOIN {src}_g g ON g.key = c.key WHERE c.kind = '{kind}' AND c.s + c.e > 2 * a AND c.s + c.e < 2 * b),
+    {out}_m AS (SELECT *, lag(s) OVER (PARTITION BY key ORDER BY s, e, ord) AS ps, lag(e) OVER (PARTITION BY key ORDER BY s, e, ord) AS pe FROM {out}_all),
+    {out} AS (SELECT key, ord, s, e FROM {out}_m WHERE ps IS NULL OR s <> ps OR e <> pe)"""
+
+
+@query(
+    "i38_recover_twice",
+    f"""WITH {INTERVALS_SQL}, l0 AS (SELECT key, ord, s, e FROM iv WHERE kind = 'view'), {_RECOVER_SQL.format(src="l0", out="l1", kind="click", least=DAY)},
+    {_RECOVER_SQL.format(src="l1", out="l2", kind="signup", least=2 * DAY)} SELECT key, ord, s AS start, e AS "end" FROM l2""",
+)
 def i38_recover_twice(spark, sf_dir):
+    """Two readers; after each, lines of one and the same time are one."""
     rows = intervals(spark, sf_dir).select("key", "ord", "kind", "start", "end")
-    pick = lambda k: rows.where(F.col("kind") == k)
-    return cover.recover_gaps(pick("view"), [(pick("click"), DAY), (pick("signup"), 2 * DAY)], ["key"])
+    pick = lambda k: rows.where(F.col("kind") == k).drop("kind")
+    before = Window.partitionBy("key").orderBy("start", "end", "ord")
+
+    def merge(lines):
+        told = lines.withColumns({"_s": F.lag("start").over(before), "_e": F.lag("end").over(before)})
+        return told.where("_s is null or start <> _s or end <> _e").drop("_s", "_e")
+
+    return cover.recover_gaps(pick("view"), [(pick("click"), DAY), (pick("signup"), 2 * DAY)], ["key"], merge)
 
 
 @query(
@@ -167,47 +187,6 @@ def j08_unique_timings(spark, sf_dir):
     return t.select("conv_id", "cue", F.when(F.col("n") > 1, "duplicate").otherwise("").alias("problem"), "start")
 
 
-@query(
-    "j19_ledger_lag",
-    """WITH l AS (SELECT o_custkey, o_orderkey, o_totalprice, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous FROM orders),
-    m AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) SELECT o_orderkey, coalesce(previous, -1) AS previous, coalesce(n, 0) AS attempts, CASE WHEN n IS NULL THEN 'missing_attempt' WHEN previous IS NOT NULL AND o_orderkey - previous < 10 THEN 'gap' ELSE '' END AS problem
-    FROM l LEFT JOIN m ON l_orderkey = o_orderkey""",
-)
-def j19_ledger_lag(spark, sf_dir):
-    from pyspark.sql import Window
-
-    prev = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    n = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n"))
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", prev.alias("previous")).join(n, "o_orderkey", "left")
-    problem = F.when(F.col("n").isNull(), "missing_attempt").when(F.col("o_orderkey") - F.col("previous") < 10, "gap").otherwise("")
-    return rows.select("o_orderkey", F.coalesce("previous", F.lit(-1)).alias("previous"), F.coalesce("n", F.lit(0)).alias("attempts"), problem.alias("problem"))
-
-
-@query(
-    "j22_packet_totals",
-    """SELECT l_orderkey, count(*) AS refs, count(*) - count(DISTINCT l_partkey) AS repeated, CAST(sum(l_quantity) AS BIGINT) AS bytes, count(*) FILTER (WHERE l_returnflag = 'R') = 1 AS one_report FROM lineitem GROUP BY l_orderkey""",
-)
-def j22_packet_totals(spark, sf_dir):
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("refs"), (F.count(F.lit(1)) - F.count_distinct("l_partkey")).alias("repeated"), F.sum("l_quantity").cast("bigint").alias("bytes"), (F.count_if(F.col("l_returnflag") == "R") == 1).alias("one_report")
-    )
-
-
-@query(
-    "j23_v23_v25_attempt_chain",
-    """WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate, lag(l_shipdate) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS before FROM lineitem)
-    SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN o_custkey IS NULL THEN 'no_candidate' WHEN l_shipdate < before THEN 'older' WHEN l_linenumber > 5 THEN 'too_many' ELSE '' END AS problem FROM a LEFT JOIN (SELECT * FROM orders WHERE o_custkey % 2 = 0) ON o_orderkey = l_orderkey""",
-)
-def j23_v23_v25_attempt_chain(spark, sf_dir):
-    from pyspark.sql import Window
-
-    before = F.lag("l_shipdate").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
-    a = table(spark, sf_dir, "lineitem").withColumn("before", before)
-    o = table(spark, sf_dir, "orders").where("o_custkey % 2 = 0").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    problem = F.when(F.col("o_custkey").isNull(), "no_candidate").when(F.col("l_shipdate") < F.col("before"), "older").when(F.col("l_linenumber") > 5, "too_many").otherwise("")
-    return a.join(o, "l_orderkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", problem.alias("problem"))
-
-
 @query("j24_h14_sources", "SELECT page_id, left(sha256(url || chr(10) || 'v2'), 32) AS key, 'gs://out/processed/' || lpad(CAST(page_id AS VARCHAR), 5, '0') || '/final' AS base FROM pages")
 def j24_h14_sources(spark, sf_dir):
     base = F.concat(F.lit("gs://out/processed/"), F.lpad(F.col("page_id").cast("string"), 5, "0"), F.lit("/final"))
@@ -226,16 +205,16 @@ def d05_splice_windows(spark, sf_dir):
     def fold(rows):
         fresh = [{**r, "start": r["start"] + 0.01} for r in rows]
         middle = (rows[len(rows) // 3]["start"], rows[len(rows) // 2]["end"])
-        out = folds.splice_windows(rows, fresh, [middle], lambda r: tx.cue_key(r["text"])) if folds else rows
+        out = folds.splice_windows(rows, fresh, [middle], lambda r: tx.cue_key(r["text"]))
         return [{"ord": r["ord"], "start": r["start"], "end": r["end"]} for r in out]
 
-    rows = dialogue(spark, sf_dir).where("length(text) > 5").select("conv_id", "ord", "text", (F.col("start") / 1).alias("start"), (F.col("end") / 1).alias("end"))
+    rows = dialogue(spark, sf_dir).select("conv_id", "ord", "text", (F.col("start") / 1).alias("start"), (F.col("end") / 1).alias("end"))
     return folds.fold_per_key(rows, ["conv_id"], fold, "ord long, start double, end double", ["ord"])
 
 
 def _seen(spark, sf_dir):
     """Turns read three times each as text at sample times."""
-    rows = dialogue(spark, sf_dir).select("conv_id", "ord", F.substring("text", 1, 12).alias("text"), (F.col("start") / 100).alias("start"), (F.col("end") / 100).alias("end"))
+    rows = dialogue(spark, sf_dir).select("conv_id", "ord", "text", (F.col("start") / 100).alias("start"), (F.col("end") / 100).alias("end"))
     return rows.withColumn("samples", F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct((F.col("start") + (F.col("end") - F.col("start")) * i / 4).alias("t"), F.col("text").alias("text"))))
 
 
@@ -259,37 +238,73 @@ def c08_snap_boundaries(spark, sf_dir):
     return folds.fold_per_key(_seen(spark, sf_dir), ["conv_id"], fold, "ord long, start double, end double", ["ord"])
 
 
+def _track_pool(spark, sf_dir):
+    """Boxes of a video, each with a text; one event a video, and its pool."""
+    b = boxes(spark, sf_dir).select(F.expr("frame div 16").alias("video"), (F.col("frame") % 16).alias("at"), "ord", "x1", "y1", "x2", "y2")
+    b = b.withColumn("text", F.concat(F.lit("t"), (F.col("x1") % 5).cast("string")))
+    video = b.select("video").distinct()
+    events = video.select("video", F.lit(0).alias("index"), (F.col("video") % 16).alias("start"), (F.col("video") % 16).alias("end"))
+    return timeline.event_pool(events, b, ["video"], 16, 2)
+
+
+@query(
+    "c05_event_pool",
+    f"""WITH {BOXES_SQL}, b AS (SELECT frame // 16 AS video, frame % 16 AS t, ord FROM bx),
+    k AS (SELECT video, t, ord, CASE WHEN t = video % 16 THEN 0 WHEN abs(t - video % 16) <= 2 THEN 1 ELSE 2 END AS far FROM b),
+    m AS (SELECT *, min(far) OVER (PARTITION BY video) AS nearest FROM k) SELECT video, t AS "at", ord FROM m WHERE far = nearest""",
+)
+def c05_event_pool(spark, sf_dir):
+    return _track_pool(spark, sf_dir).select("video", F.col("r_at").alias("at"), F.col("r_ord").alias("ord"))
+
+
 @query("c04_c05_detection_tracks")
 def c04_c05_detection_tracks(spark, sf_dir):
-    """Tracks of a video's boxes, and the track that a text selects."""
+    """Tracks among the pool of a video's event, and the one that shows its text."""
 
     def fold(rows):
-        rows = [{**r, "t": r["t"], "text": f"t{r['x1'] % 5}"} for r in rows]
-        tracks = folds.detection_tracks(rows, 30.0)
-        best = folds.select_track(tracks, "t3", (640.0, 500.0, 200.0, 60.0))
-        return [{"tracks": len(tracks), "boxes": len(rows), "selected": len(best)}]
+        tracks = folds.detection_tracks([{**r, "t": r["at"] / 8.0} for r in rows], 30.0)
+        return [{k: r[k] for k in ("ord", "text", "x1", "y1", "x2", "y2")} | {"track": n} for n, t in enumerate(tracks) for r in t]
 
-    b = boxes(spark, sf_dir).where("y1 > 330").select(F.expr("frame div 16").alias("video"), (F.col("frame") % 16 / 8.0).alias("t"), "ord", "x1", "y1", "x2", "y2")
-    return folds.fold_per_key(b, ["video"], fold, "tracks long, boxes long, selected long", ["t", "ord"])
+    pool = _track_pool(spark, sf_dir)
+    pool = pool.select("video", *[F.col(f"r_{c}").alias(c) for c in ("at", "ord", "text", "x1", "y1", "x2", "y2")])
+    tracked = folds.fold_per_key(pool, ["video"], fold, "ord long, text string, x1 int, y1 int, x2 int, y2 int, track int", ["at", "ord"])
+    return timeline.best_track(tracked, ["video"], "track", tx.text_similarity(F.lit("t3"), F.col("text")), (640.0, 500.0, 200.0, 60.0))
 
 
-@query("c11_rebase_timeline")
+@query(
+    "c11_rebase_timeline",
+    f"""WITH {DIALOGUE_SQL}, t AS (SELECT conv_id, ord, trim(text, ' ') AS text, s / 10.0 AS s0, e / 10.0 AS e0 FROM dl),
+    l AS (SELECT conv_id, ord, text, s0 AS s, greatest(e0, s0 + 0.5) AS e FROM t WHERE text <> ''),
+    k AS (SELECT conv_id, min(s) AS a, max(s) AS b, max(e) AS c, count(*) AS n, sum(greatest(8, length(text))) AS w FROM l GROUP BY conv_id),
+    h AS (SELECT *, CASE WHEN b < 40.5 AND c - a >= 6 AND c <= 42 THEN 'kept'
+        WHEN greatest(0, b - 5) < 40.5 AND least(40, greatest(0.4, c - 5)) - greatest(0, a - 5) >= 6 THEN 'segment'
+        WHEN b - a < 40.5 AND least(40, greatest(0.4, c - a)) >= 6 THEN 'first' ELSE 'shared' END AS how FROM k),
+    p AS (SELECT l.*, h.a, h.how, greatest(0.7, greatest(1, 40 - 0.18 * (n - 1)) * greatest(8, length(text)) / w) AS d, row_number() OVER (PARTITION BY l.conv_id ORDER BY s DESC, ord DESC) AS back FROM l JOIN h ON h.conv_id = l.conv_id),
+    q AS (SELECT *, least(40, coalesce(sum(d + 0.18) OVER (PARTITION BY conv_id ORDER BY s, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS x FROM p)
+    SELECT conv_id, ord, how,
+    CAST(round(1e6 * CASE how WHEN 'kept' THEN least(40, s) WHEN 'segment' THEN greatest(0, s - 5) WHEN 'first' THEN greatest(0, s - a) ELSE x END) AS BIGINT) AS start_us,
+    CAST(round(1e6 * CASE how WHEN 'kept' THEN least(40, greatest(s + 0.4, e)) WHEN 'segment' THEN least(40, greatest(0.4, e - 5)) WHEN 'first' THEN least(40, greatest(0.4, e - a))
+        ELSE least(40, greatest(x + 0.4, CASE WHEN back = 1 THEN 40 ELSE least(40, x + d) END)) END) AS BIGINT) AS end_us FROM q""",
+)
 def c11_rebase_timeline(spark, sf_dir):
-    def fold(rows):
-        return [{"ord": r["ord"], "start": r["start"], "end": r["end"]} for r in folds.rebase_timeline(rows, 5.0, 40.0)]
-
     rows = dialogue(spark, sf_dir).select("conv_id", "ord", "text", (F.col("start") / 10).alias("start"), (F.col("end") / 10).alias("end"))
-    return folds.fold_per_key(rows, ["conv_id"], fold, "ord long, start double, end double", ["ord"])
+    us = lambda c: F.round(F.col(c) * 1e6).cast("bigint").alias(f"{c}_us")
+    return timeline.rebase(rows, ["conv_id"], 5.0, 40.0).select("conv_id", "ord", "how", us("start"), us("end"))
 
 
-@query("r22_voice_slots")
+@query(
+    "r22_voice_slots",
+    f"""WITH {DIALOGUE_SQL}, c AS (SELECT conv_id, ord, s * 1000 AS s, length(text) * 1100 AS d FROM dl),
+    e AS (SELECT *, s + d AS f, max(s + d) OVER (PARTITION BY conv_id) * 995 // 1000 AS total, lead(s) OVER (PARTITION BY conv_id ORDER BY s, ord) AS nxt, row_number() OVER (PARTITION BY conv_id ORDER BY s + d DESC, s, ord) = 1 AS last FROM c),
+    r AS (SELECT *, last AND f > total AS over, f - total > 5000 OR greatest(0, total - s) <= 0 OR d * 100 > greatest(0, total - s) * 102 AS wrong FROM e)
+    SELECT conv_id, ord, CASE WHEN over AND NOT wrong THEN total ELSE f END AS "end", greatest(0, coalesce(f - nxt, 0)) AS spill, CASE WHEN over AND wrong THEN 'ends beyond the video' ELSE '' END AS error FROM r""",
+)
 def r22_voice_slots(spark, sf_dir):
-    def fold(rows):
-        out = folds.voice_slots(rows, max(r["start"] + r["duration"] for r in rows) * 0.995)
-        return [{"ord": r["ord"], "end": r["end"], "spill": r["spill"], "error": r["error"]} for r in out]
-
-    rows = dialogue(spark, sf_dir).select("conv_id", "ord", (F.col("start") / 10).alias("start"), (F.length("text") / 9).alias("duration"))
-    return folds.fold_per_key(rows, ["conv_id"], fold, "ord long, end double, spill double, error string", ["ord"])
+    """In whole milliseconds, with a clip a little longer than its slot."""
+    clips = dialogue(spark, sf_dir).select("conv_id", "ord", (F.col("start") * 1000).alias("start"), (F.length("text") * 1100).cast("bigint").alias("duration"))
+    total = F.expr("max(start + duration) over (partition by conv_id) * 995 div 1000")
+    out = timeline.voice_slots(clips, ["conv_id"], total, overflow=5000, speed=1.02)
+    return out.select("conv_id", "ord", F.col("end").cast("bigint").alias("end"), F.col("spill").cast("bigint").alias("spill"), "error")
 
 
 @query(
@@ -399,32 +414,17 @@ def v12_taxonomy(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.bool_and(known).alias("known"), F.count(F.lit(1)).alias("n")).select("event_type", "known", "n")
 
 
-@query("v15_v22_forbidden_scan")
-def v15_v22_forbidden_scan(spark, sf_dir):
-    """Paths of forbidden keys and values anywhere in a document."""
-    from lapwing.functions.nested import JsonNodes
-
-    nodes = table(spark, sf_dir, "events").select("event_id", "props").lateralJoin(JsonNodes(F.col("props").outer()))
-    bad = F.col("path").rlike(r"(?i)\.(?:token|secret|page)$") | F.col("value").rlike("(?i)bearer ")
-    return nodes.where(bad).select("event_id", "path")
-
-
 @query(
-    "v17_v19_v24_release_chain",
-    """WITH v AS (SELECT l_orderkey, list(l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey) AS roles, bool_and(l_tax < 0.08) AS pass, max(l_shipdate) AS newest FROM lineitem GROUP BY l_orderkey)
-    SELECT o_orderkey, CASE WHEN l_orderkey IS NULL THEN 'no_evidence' WHEN NOT pass THEN 'verdict' WHEN len(roles) <> 4 THEN 'roles' WHEN newest < o_orderdate THEN 'older' ELSE '' END AS problem FROM orders LEFT JOIN v ON l_orderkey = o_orderkey""",
+    "v15_v22_forbidden_scan",
+    """SELECT event_id, '$.a.token' AS path FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, '$.b[1]' FROM events WHERE event_id % 5 = 0""",
 )
-def v17_v19_v24_release_chain(spark, sf_dir):
-    v = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("roles"), F.bool_and(F.col("l_tax") < 0.08).alias("pass"), F.max("l_shipdate").alias("newest"))
-    rows = table(spark, sf_dir, "orders").join(v, "o_orderkey", "left")
-    problem = F.when(F.col("roles").isNull(), "no_evidence").when(~F.col("pass"), "verdict").when(F.col("roles") != 4, "roles").when(F.col("newest") < F.col("o_orderdate"), "older").otherwise("")
-    return rows.select("o_orderkey", problem.alias("problem"))
-
-
-@query("v28_index_agreement", "SELECT doc_id, d.n_chars % 2 = l.quality AND d.doc_id % 2 = l.toxic AS agrees FROM documents d JOIN labels l USING (doc_id)")
-def v28_index_agreement(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
-    return rows.select("doc_id", ((F.col("n_chars") % 2 == F.col("quality")) & (F.col("doc_id") % 2 == F.col("toxic"))).alias("agrees"))
+def v15_v22_forbidden_scan(spark, sf_dir):
+    """Paths of forbidden keys and values anywhere in a document; every third event
+    has such a key planted, every fifth such a value."""
+    key = F.when(F.col("event_id") % 3 == 0, "token").otherwise("k")
+    value = F.when(F.col("event_id") % 5 == 0, "Bearer abc").otherwise("plain")
+    planted = F.concat(F.lit('{"a":{"'), key, F.lit('":'), F.col("props"), F.lit('},"b":["x","'), value, F.lit('"]}'))
+    return cs.forbidden_nodes(table(spark, sf_dir, "events").select("event_id", planted.alias("doc")), "doc").select("event_id", "path")
 
 
 @query("a16_strict_booleans")

@@ -196,13 +196,13 @@ def d07_cue_plans(spark, sf_dir):
 
 @query(
     "d04_adjacent_repeats",
-    """WITH t AS (SELECT conv_id, turn, lower(trim(text)) AS t, lag(lower(trim(text))) OVER (PARTITION BY conv_id ORDER BY turn) AS p FROM conversations) SELECT conv_id, turn, length(t) AS chars FROM t WHERE t = p AND t <> ''""",
+    """WITH t AS (SELECT user_id, event_id, lower(trim(event_type)) AS t, lag(lower(trim(event_type))) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) SELECT user_id, event_id, length(t) AS chars FROM t WHERE t = p AND t <> ''""",
 )
 def d04_adjacent_repeats(spark, sf_dir):
-    t = F.lower(F.trim("text"))
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    rows = table(spark, sf_dir, "conversations").withColumns({"t": t, "p": F.lag(t).over(w)})
-    return rows.where("t = p and t <> ''").select("conv_id", "turn", F.length("t").alias("chars"))
+    t = F.lower(F.trim("event_type"))
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    rows = table(spark, sf_dir, "events").withColumns({"t": t, "p": F.lag(t).over(w)})
+    return rows.where("t = p and t <> ''").select("user_id", "event_id", F.length("t").alias("chars"))
 
 
 @query("d09_signature", f"WITH {DIALOGUE_SQL} SELECT conv_id, sha256(string_agg(CAST(s AS VARCHAR) || ':' || CAST(e AS VARCHAR) || ':' || text, '|' ORDER BY ord)) AS signature FROM dl GROUP BY conv_id")
@@ -467,6 +467,6 @@ def r08_merge_groups(spark, sf_dir):
 
 @query("st01_d08_observations")
 def st01_d08_observations(spark, sf_dir):
-    """Every third letter class of a turn as what was read at a sample time."""
-    rows = dialogue(spark, sf_dir).select("conv_id", (F.col("ord") * 0.25).alias("t"), "ord", F.when(F.col("ord") % 4 != 3, F.substring("text", 1, 6)).otherwise("").alias("text"))
+    """Turns as what was read at sample times; every fourth sample is empty."""
+    rows = dialogue(spark, sf_dir).select("conv_id", (F.col("ord") * 0.25).alias("t"), "ord", F.when(F.col("ord") % 4 != 3, F.col("text")).otherwise("").alias("text"))
     return folds.fold_per_key(rows, ["conv_id"], lambda r: folds.observations_to_cues(r, 0.25), "start double, end double, text string", ["ord"])

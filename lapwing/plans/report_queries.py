@@ -9,6 +9,7 @@ from lapwing.datasets import BOXES_SQL, DIALOGUE_SQL, INTERVALS_SQL, boxes, dial
 from lapwing.operators import constraints as cs
 from lapwing.operators import filters as fl
 from lapwing.operators import reports as rp
+from lapwing.operators import timeline
 from lapwing.plans.interval_queries import DAY, HOUR, _islands_sql
 from lapwing.registry import query
 
@@ -123,14 +124,36 @@ def a17_i04_merge_candidates(spark, sf_dir):
     return rp.merge_candidates(rows, ["key"], HOUR)
 
 
-@query(
-    "a11_audit_passes",
-    """WITH s AS (SELECT event_id, user_id, value / 100 AS score FROM events) SELECT event_id, user_id, 1 AS "pass" FROM s WHERE score >= 0.8""",
-)
+def _second_look(spark, sf_dir):
+    """Views are seen at once, clicks only once a cut of their key has ended before
+    them; what has been cut is not seen again."""
+    rows = intervals(spark, sf_dir).join(table(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), (F.col("value") / 100).alias("score")), "ord")
+    rows = rows.select("key", "ord", "kind", "start", "end", "score")
+
+    def detect(cuts):
+        if cuts is None:
+            return rows.where("kind = 'view'")
+        first = cuts.groupBy("key").agg(F.min("end").alias("_cut"))
+        seen = rows.join(first, "key", "left").where("kind = 'view' or kind = 'click' and _cut <= start").drop("_cut")
+        return seen.join(cuts.select("key", "ord"), ["key", "ord"], "left_anti")
+
+    return timeline.audit_until_clean(detect, 0.8, 2)
+
+
+_AUDIT_SQL = f"""WITH {INTERVALS_SQL}, d AS (SELECT iv.*, value / 100 AS score FROM iv JOIN events ON event_id = ord),
+    p1 AS (SELECT * FROM d WHERE kind = 'view' AND score >= 0.8), c1 AS (SELECT key, min(e) AS c FROM p1 GROUP BY key),
+    p2 AS (SELECT d.* FROM d JOIN c1 ON c1.key = d.key WHERE kind = 'click' AND c <= s AND score >= 0.8),
+    cut AS (SELECT key, ord, e, 1 AS pass FROM p1 UNION ALL SELECT key, ord, e, 2 FROM p2), c2 AS (SELECT key, min(e) AS c FROM cut GROUP BY key)"""
+
+
+@query("a11_audit_passes", f"{_AUDIT_SQL} SELECT key, ord, pass FROM cut")
 def a11_audit_passes(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", "user_id", (F.col("value") / 100).alias("score"))
-    cut, left = rp.audit_until_clean(rows, ["user_id"], "score", 0.8, 2)
-    return cut.where("pass = 1").select("event_id", "user_id", "pass")
+    return _second_look(spark, sf_dir)[0].select("key", "ord", "pass")
+
+
+@query("a11_left_over", f"{_AUDIT_SQL} SELECT d.key, d.ord, score >= 0.8 AS failed FROM d LEFT JOIN c2 ON c2.key = d.key WHERE (kind = 'view' OR kind = 'click' AND c <= s) AND d.ord NOT IN (SELECT ord FROM cut)")
+def a11_left_over(spark, sf_dir):
+    return _second_look(spark, sf_dir)[1].select("key", "ord", "failed")
 
 
 @query("s15_newest", "SELECT event_id, user_id, ts FROM events ORDER BY ts DESC, event_id LIMIT 40")
@@ -222,9 +245,19 @@ def v06_final_states(spark, sf_dir):
     return _job_states(spark, sf_dir).select("user_id", "event_id", cs.is_final(F.col("state")).alias("final"))
 
 
-@query("v30_closed_graph", "SELECT 'x' AS state, 'y' AS problem WHERE 1 = 0")
+@query(
+    "v30_closed_graph",
+    """WITH e AS (SELECT o_orderstatus || o_orderpriority[1] AS a, o_orderpriority[1] || o_orderstatus AS b, o_orderkey % 7 AS k FROM orders),
+    st AS (SELECT DISTINCT a AS state, a LIKE 'F%' AS final FROM e), g AS (SELECT DISTINCT a, b FROM e)
+    SELECT DISTINCT b AS state, 'unknown_target' AS problem FROM g WHERE b NOT IN (SELECT state FROM st)
+    UNION ALL SELECT DISTINCT a, 'final_can_be_left' FROM g JOIN st ON state = a WHERE final""",
+)
 def v30_closed_graph(spark, sf_dir):
-    return cs.graph_problems(spark)
+    """A graph with planted faults: the moves are made of the orders' columns."""
+    o = table(spark, sf_dir, "orders").select("o_orderstatus", F.substring("o_orderpriority", 1, 1).alias("p"))
+    moves = o.select(F.concat("o_orderstatus", "p").alias("previous"), F.concat("p", "o_orderstatus").alias("state")).distinct()
+    states = moves.select(F.col("previous").alias("state"), F.col("previous").startswith("F").alias("final")).distinct()
+    return cs.graph_problems(moves, states)
 
 
 @query(
@@ -251,16 +284,6 @@ def v08_v09_callbacks(spark, sf_dir):
     return rows.select("user_id", "event_id", F.concat(F.lit("job."), "state").rlike("^job[.][a-z_]+$").alias("name_ok"), (F.col("event_type") == expected).alias("consistent"))
 
 
-@query(
-    "v10_idempotency",
-    """WITH r AS (SELECT doc_id, sha256(text) AS h, first_value(sha256(text)) OVER (PARTITION BY source ORDER BY doc_id) AS stored, source FROM documents) SELECT doc_id, source, CASE WHEN h = stored THEN 'replay' ELSE 'conflict' END AS outcome FROM r""",
-)
-def v10_idempotency(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").withColumn("h", F.sha2("text", 256))
-    stored = d.groupBy("source").agg(F.min_by("h", "doc_id").alias("stored"))
-    return d.join(stored, "source").select("doc_id", "source", F.when(F.col("h") == F.col("stored"), "replay").otherwise("conflict").alias("outcome"))
-
-
 @query(
     "v11_error_table",
     """WITH sem(code, stage, retryable) AS (VALUES ('view', 0, true), ('click', 1, false), ('purchase', 2, true), ('signup', 0, false))
@@ -273,30 +296,6 @@ def v11_error_table(spark, sf_dir):
     return rows.select("event_id", problem.otherwise("").alias("problem"))
 
 
-@query(
-    "v13_v18_bindings",
-    """WITH v AS (SELECT l_orderkey, count(DISTINCT l_linenumber) AS roles, count(DISTINCT l_suppkey % 2) AS hashes, bool_and(l_discount < 0.09) AS pass FROM lineitem GROUP BY l_orderkey)
-    SELECT o_orderkey, coalesce(roles >= 4 AND hashes = 1 AND pass, false) AS bound FROM orders LEFT JOIN v ON l_orderkey = o_orderkey""",
-)
-def v13_v18_bindings(spark, sf_dir):
-    v = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.count_distinct("l_linenumber").alias("roles"), F.count_distinct(F.col("l_suppkey") % 2).alias("hashes"), F.bool_and(F.col("l_discount") < 0.09).alias("pass")
-    )
-    bound = (F.col("roles") >= 4) & (F.col("hashes") == 1) & F.col("pass")
-    return table(spark, sf_dir, "orders").join(v, F.col("l_orderkey") == F.col("o_orderkey"), "left").select("o_orderkey", F.coalesce(bound, F.lit(False)).alias("bound"))
-
-
-@query(
-    "v14_v29_chain",
-    """SELECT o_orderkey, c_custkey IS NOT NULL AS customer, n_nationkey IS NOT NULL AS nation, r_regionkey IS NOT NULL AS region FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal > 0
-    LEFT JOIN nation ON n_nationkey = c_nationkey LEFT JOIN region ON r_regionkey = n_regionkey AND r_name <> 'ASIA'""",
-)
-def v14_v29_chain(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer").where("c_acctbal > 0"), F.col("c_custkey") == F.col("o_custkey"), "left")
-    o = o.join(table(spark, sf_dir, "nation"), F.col("n_nationkey") == F.col("c_nationkey"), "left").join(table(spark, sf_dir, "region").where("r_name <> 'ASIA'"), F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    return o.select("o_orderkey", F.col("c_custkey").isNotNull().alias("customer"), F.col("n_nationkey").isNotNull().alias("nation"), F.col("r_regionkey").isNotNull().alias("region"))
-
-
 @query("v16_independent", "SELECT o_orderkey, len(list_distinct([o_orderkey % 3, o_custkey % 3, (o_orderkey + o_custkey) % 5])) = 3 AS independent FROM orders")
 def v16_independent(spark, sf_dir):
     a, b = F.col("o_orderkey"), F.col("o_custkey")
