@@ -21,7 +21,7 @@ columns live in tables of their own).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lapwing.llm._common import materialize, parted, read_table, slot, text_or_empty
@@ -96,12 +96,9 @@ def membership(
     marked = digests.join(F.broadcast(hot), "digest", "left")
     frequent = marked.where("win is not null")
     rare = marked.where("win is null").drop("win", "group_size")
-    rest = rare.withColumns(
-        {
-            "win": F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "rid")).over(Window.partitionBy("digest")),
-            "group_size": F.count(F.lit(1)).over(Window.partitionBy("digest")),
-        }
-    )
+    # Aggregated before its shuffle, and joined back so that adaptive execution can
+    # split what a digest just below the summary's reach still gathers.
+    rest = rare.join(_winner(["digest"], rare), "digest")
     return _shape(frequent.unionByName(rest))
 
 
