@@ -1,8 +1,9 @@
 """Token counts by the whole-token shortcut.
 
-Offline, before any document is read, every vocabulary string is encoded alone
-with the tokenizer's own library; those that come back as one token, and that the
-pre-tokeniser leaves whole, are proven.  A pre-token equal to a proven string
+Offline, before any document is read, the driver encodes every vocabulary string
+alone with the tokenizer's own library; those that come back as one token, and that
+the pre-tokeniser leaves whole, are proven, and go to the workers as a set no larger
+than the vocabulary.  A pre-token equal to a proven string
 counts as one, without merging anything.  Only the other pre-tokens go through
 the merges, and each distinct one once a batch.
 
@@ -44,7 +45,9 @@ def _byte_chars() -> dict[str, int]:
 
 
 class Counter:
-    def __init__(self, path: str):
+    """Counts with the proven strings ``whole``; proves them where none are given."""
+
+    def __init__(self, path: str, whole: frozenset[str] | None = None):
         import regex
         from tokenizers import Tokenizer
 
@@ -54,7 +57,7 @@ class Counter:
         self._lib.no_padding()
         self._find = regex.compile(_pattern()).findall
         self._added = [t.content for t in self._lib.get_added_tokens_decoder().values()]
-        self.whole = self.prove()
+        self.whole = self.prove() if whole is None else whole
         self._merged: dict[str, int] = {}
         self._table = UnitTable(self._code)
 
@@ -92,17 +95,18 @@ class Counter:
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> Counter:
-    return Counter(path)
+def counter(path: str, whole: frozenset[str] | None = None) -> Counter:
+    return Counter(path, whole)
 
 
 def count_tokens(docs: DataFrame, text_col: str = "text", out_col: str = "n_tokens", tokenizer: str = TOKENIZER) -> DataFrame:
     """``docs`` and the number of tokens of each text."""
+    whole = counter(tokenizer_path(tokenizer)).whole  # proven once, here, and shipped: at most the vocabulary
 
     def counts(texts):
         import pyarrow as pa
 
-        return [pa.array(counter(tokenizer_path(tokenizer)).count(texts.to_pylist()), pa.int64())]
+        return [pa.array(counter(tokenizer_path(tokenizer), whole).count(texts.to_pylist()), pa.int64())]
 
     return append(docs, text_col, [(out_col, LongType())], counts)
 
