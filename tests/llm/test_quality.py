@@ -43,3 +43,41 @@ def test_odd_rows(spark, tmp_path):
         spark.createDataFrame([(1, None), (None, 1), (4, 0)], "doc_id long, quality int").write.parquet(str(d / "labels.parquet"))
         got = q.op2_quality(spark, str(d)).collect()
         assert len(got) == len(data) and all(r["kept"] and r["log_weight"] == 0 for r in got)
+
+
+def test_weights_against_brute_force(spark):
+    """The models as dictionaries of n-grams' buckets, one n-gram at a time."""
+    import math
+    import zlib
+    from collections import Counter
+
+    from lapwing.llm import quality
+
+    rows = [(i, " ".join(f"w{(i * j) % 17}" for j in range(1 + i % 9))) for i in range(60)] + [(60, None), (61, "")]
+    labels = [(i, i % 2) for i in range(0, 50)] + [(3, 0), (7, None), (None, 1)]
+
+    def buckets(text):
+        words = (text or "").split()
+        one = [int(quality.gram_buckets([w])[0][0]) for w in words]
+        two = [next(int(b) for b in quality.gram_buckets([f"{a} {b_}"])[0][2:]) for a, b_ in zip(words, words[1:])]
+        return one + two
+
+    quality_of = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            quality_of[i] = min(q, quality_of.get(i, 1))
+    good = {i for i, q in quality_of.items() if q and zlib.crc32(str(i).encode()) % 5 != 0}
+    raw, target = Counter(), Counter()
+    for i, t in rows:
+        raw.update(buckets(t))
+        if i in good:
+            target.update(buckets(t))
+    prior = {b: (raw[b] + 1) / (sum(raw.values()) + quality.BUCKETS) for b in raw}
+    ratio = {b: math.log((target[b] + quality.BUCKETS * p) / (sum(target.values()) + quality.BUCKETS)) - math.log(p) for b, p in prior.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = quality.resample(docs, spark.createDataFrame(labels, "doc_id long, quality int"), 0.5).collect()
+    for r in found:
+        grams = buckets(dict(rows)[r["doc_id"]])
+        want = quality.LENGTH * sum(ratio[b] for b in grams) / max(1, len(grams))
+        assert abs(r["log_weight"] - want) < 1e-9
+    assert sum(r["kept"] for r in found) == 31
