@@ -155,7 +155,14 @@ def i36_cluster_centers(spark, sf_dir):
     return boxes(spark, sf_dir).groupBy("frame").agg(F.min("ord").alias("first_ord"), mid("x1", "x2", 1280).alias("center_x"), mid("y1", "y2", 720).alias("center_y"))
 
 
-@query("j12_i39_prefer_visual")
+@query(
+    "j12_i39_prefer_visual",
+    f"""WITH {INTERVALS_SQL}, l AS (SELECT * FROM iv WHERE kind = 'click'), v AS (SELECT * FROM iv WHERE kind = 'view'),
+    c AS (SELECT DISTINCT l.key, l.ord FROM l JOIN v ON v.key = l.key WHERE (least(l.e, v.e) > greatest(l.s, v.s) AND (least(l.e, v.e) - greatest(l.s, v.s)) >= 0.35 * least(l.e - l.s, v.e - v.s))
+      OR l.s + l.e BETWEEN 2 * (v.s - {HOUR}) AND 2 * (v.e + {HOUR}) OR v.s + v.e BETWEEN 2 * (l.s - {HOUR}) AND 2 * (l.e + {HOUR})),
+    b AS (SELECT l.*, (SELECT max(v.e) FROM v WHERE v.key = l.key AND v.e <= l.s) AS before, (SELECT min(v.s) FROM v WHERE v.key = l.key AND v.s >= l.e) AS after FROM l WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.key = l.key AND c.ord = l.ord))
+    SELECT key, ord, s AS start, e AS "end", 'kept' AS origin FROM b WHERE NOT coalesce(s - before <= 3 * {HOUR} AND after - e <= 3 * {HOUR}, false) UNION ALL SELECT key, ord, s, e, 'visual' FROM v""",
+)
 def j12_i39_prefer_visual(spark, sf_dir):
     rows = intervals(spark, sf_dir).select("key", "ord", "kind", "start", "end")
     return cover.prefer_visual(rows.where("kind = 'click'"), rows.where("kind = 'view'"), ["key"], DAY, HOUR).select("key", "ord", "start", "end", "origin")

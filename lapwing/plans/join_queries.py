@@ -235,13 +235,23 @@ def d02_tail_repeats(spark, sf_dir):
     return folds.fold_per_key(_lines(spark, sf_dir), ["conv_id"], lambda rows: _times(folds.suppress_tail_repeats(rows, max(r["end"] for r in rows))), _LINE, ["ord"])
 
 
-@query("d03_merge_touching")
+@query(
+    "d03_merge_touching",
+    f"""WITH RECURSIVE {DIALOGUE_SQL}, l AS (SELECT conv_id, ord, s, e, left(text, 1) AS c, row_number() OVER (PARTITION BY conv_id ORDER BY ord) AS n FROM dl),
+    q AS (SELECT conv_id, n, ord AS head, s, e, c, 1 AS size FROM l WHERE n = 1
+      UNION ALL SELECT l.conv_id, l.n, CASE WHEN m THEN head ELSE l.ord END, CASE WHEN m THEN least(q.s, l.s) ELSE l.s END, CASE WHEN m THEN greatest(q.e, l.e) ELSE l.e END, CASE WHEN m THEN q.c ELSE l.c END, CASE WHEN m THEN size + 1 ELSE 1 END
+        FROM (SELECT *, 1 AS one FROM q) q JOIN l ON l.conv_id = q.conv_id AND l.n = q.n + 1, LATERAL (SELECT 10 * (l.s - q.e) BETWEEN -5 AND 15 AND l.c = q.c AS m))
+    SELECT conv_id, head AS ord, arg_max(s, n) AS start, arg_max(e, n) AS "end", max(size) AS n FROM q GROUP BY conv_id, head""",
+)
 def d03_merge_touching(spark, sf_dir):
+    """In tenths of a second; the first letters stand for the texts' likeness."""
+
     def fold(rows):
-        same = lambda a, b: a["text_vi"][:1] == b["text_vi"][:1]
-        return [{**r, "n": len(r["members"])} for r in folds.merge_touching(rows, -0.05, 0.15, same)]
+        same = lambda a, b: a["text"][:1] == b["text"][:1]
+        return [{**r, "n": len(r["members"])} for r in folds.merge_touching(rows, -0.5, 1.5, same)]
 
-    return folds.fold_per_key(_lines(spark, sf_dir), ["conv_id"], fold, _LINE + ", n long", ["ord"])
+    rows = dialogue(spark, sf_dir).select("conv_id", "ord", "start", "end", "text")
+    return folds.fold_per_key(rows, ["conv_id"], fold, "ord long, start long, end long, n long", ["ord"])
 
 
 @query("c09_non_overlapping")
@@ -445,16 +455,43 @@ def _voice(spark, sf_dir):
 
 
 _SLOT = "ord long, start double, end double, lag double"
+_VOICE = _CLIPS + """, v AS (SELECT key, ord, n, (start - min(start) OVER (PARTITION BY key)) / 1e6 AS anchor, (e - start) / 1e6 AS duration, lead(start) OVER (PARTITION BY key ORDER BY n) - min(start) OVER (PARTITION BY key) AS nxt FROM c)"""
+
+
+def _micro(rows, *columns):
+    """Seconds as whole microseconds, so that results compare exactly."""
+    return rows.select(*[c for c in rows.columns if c not in columns], *[F.round(F.col(c) * 1e6).cast("bigint").alias(c) for c in columns])
+
+
+def _next_ms(at: str) -> str:
+    return f"ceil(({at} - 1e-9) * 1000) / 1000"
 
 
-@query("r04_fixed_milliseconds")
+@query(
+    "r04_fixed_milliseconds",
+    _VOICE + f""", q AS (SELECT key, ord, n, anchor, {_next_ms("anchor")} AS b, {_next_ms("anchor")} + duration AS f FROM v WHERE n = 0
+      UNION ALL SELECT v.key, v.ord, v.n, v.anchor, {_next_ms("greatest(v.anchor, f + 0.08)")}, {_next_ms("greatest(v.anchor, f + 0.08)")} + v.duration FROM q JOIN v ON v.key = q.key AND v.n = q.n + 1)
+    SELECT key, ord, CAST(round(b * 1e6) AS BIGINT) AS start, CAST(round(f * 1e6) AS BIGINT) AS "end", CAST(round(greatest(0, b - anchor) * 1e6) AS BIGINT) AS lag FROM q""",
+)
 def r04_fixed_milliseconds(spark, sf_dir):
-    return folds.fold_per_key(_voice(spark, sf_dir), ["key"], folds.fixed_rate, _SLOT, ["anchor", "ord"])
+    return _micro(folds.fold_per_key(_voice(spark, sf_dir), ["key"], folds.fixed_rate, _SLOT, ["anchor", "ord"]), "start", "end", "lag")
+
 
+#: A clip's room up to the next anchor, and the speed that its room asks for.
+_ROOM = "(coalesce(least(1e9, v.nxt / 1e6), 1e9) - {b} - 0.05)"
+_SPEED = f"CASE WHEN v.duration <= greatest(0.05, {_ROOM}) THEN 1.0 ELSE least(CASE WHEN {_ROOM} <= 0 OR v.duration / {_ROOM} > 1.6 + 1e-9 THEN 2.0 ELSE 1.6 END, v.duration / greatest(0.05, {_ROOM})) END"
 
-@query("r05_r06_cascade")
+
+@query(
+    "r05_r06_cascade",
+    _VOICE + f""", q AS (SELECT v.key, v.ord, v.n, v.anchor, {_next_ms("v.anchor")} AS b, {_SPEED.format(b=_next_ms("v.anchor"))} AS speed, {_next_ms("v.anchor")} + v.duration / {_SPEED.format(b=_next_ms("v.anchor"))} AS f FROM v WHERE n = 0
+      UNION ALL SELECT v.key, v.ord, v.n, v.anchor, {_next_ms("greatest(v.anchor, f + 0.03)")}, {_SPEED.format(b=_next_ms("greatest(v.anchor, f + 0.03)"))},
+        {_next_ms("greatest(v.anchor, f + 0.03)")} + v.duration / {_SPEED.format(b=_next_ms("greatest(v.anchor, f + 0.03)"))} FROM q JOIN v ON v.key = q.key AND v.n = q.n + 1)
+    SELECT key, ord, CAST(round(b * 1e6) AS BIGINT) AS start, CAST(round(f * 1e6) AS BIGINT) AS "end", CAST(round(greatest(0, b - anchor) * 1e6) AS BIGINT) AS lag, CAST(round(speed * 1e6) AS BIGINT) AS speed FROM q""",
+)
 def r05_r06_cascade(spark, sf_dir):
-    return folds.fold_per_key(_voice(spark, sf_dir), ["key"], lambda rows: folds.cascade(rows, 1e9, 1.6, 2.0), _SLOT + ", speed double", ["anchor", "ord"])
+    out = folds.fold_per_key(_voice(spark, sf_dir), ["key"], lambda rows: folds.cascade(rows, 1e9, 1.6, 2.0), _SLOT + ", speed double", ["anchor", "ord"])
+    return _micro(out, "start", "end", "lag", "speed")
 
 
 @query("r08_merge_groups")

@@ -27,17 +27,28 @@ def _neighbours(spark, sf_dir):
 _TURNS = "SELECT conv_id, turn, text, lag(text) OVER (PARTITION BY conv_id ORDER BY turn) AS before FROM conversations"
 
 
-@query("x01_fold_text")
+#: Folding of Latin texts; the rules' own compatibility forms are beyond SQL.
+_FOLDED = "(SELECT conv_id, turn, text, replace(lower(text), 'ß', 'ss') AS f FROM conversations)"
+
+
+@query(
+    "x01_fold_text",
+    rf"""SELECT conv_id, turn, regexp_replace(strip_accents(f), '[^\p{{L}}\p{{N}}_]+', '', 'g') AS folded,
+    len(list_filter(regexp_split_to_array(strip_accents(f), '[^\p{{L}}\p{{N}}_]+'), lambda w: length(w) > 1 AND w NOT IN ({", ".join(repr(w) for w in sorted(tx.STOPWORDS))}))) AS n_words FROM {_FOLDED}""",
+)
 def x01_fold_text(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", tx.fold_text("text").alias("folded"), F.size(tx.fold_words("text")).alias("n_words"))
 
 
-@query("x16_x17_keys")
+@query(
+    "x16_x17_keys",
+    rf"""SELECT conv_id, turn, regexp_replace(f, '[^\p{{L}}\p{{N}}]+', '', 'g') AS detection, regexp_replace(regexp_replace(f, '\s+', '', 'g'), '^\p{{P}}+|\p{{P}}+$', '', 'g') AS cue FROM {_FOLDED}""",
+)
 def x16_x17_keys(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", tx.detection_text("text").alias("detection"), tx.cue_text("text").alias("cue"))
 
 
-@query("x22_x23_nfc")
+@query("x22_x23_nfc", "SELECT conv_id, turn, text <> '' AND nfc_normalize(text) = text AS is_nfc, nfc_normalize(text) = text AS pair_equal FROM conversations")
 def x22_x23_nfc(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", tx.is_nfc("text").alias("is_nfc"), (tx.nfc("text") == F.col("text")).alias("pair_equal"))
 
