@@ -13,9 +13,8 @@ same sample.  The cut is found by histograms of the keys, each refining the bin
 that holds the ``k``-th, never by a sort of all rows; equal keys at the cut are all
 kept.
 
-Counts of the raw model cover all texts, the target's at most ``TARGET_SAMPLE``
-good labelled ones; what reaches the driver is the table of bucket counts,
-whose size is fixed.  Labels are learnt from rows whose crc32(id) mod 5 is not 0.
+Counts of the raw model cover all texts, the target's all good labelled ones; what
+reaches the driver is the table of bucket counts, whose size is fixed.  Labels are learnt from rows whose crc32(id) mod 5 is not 0.
 
 Defined results: null and empty texts have no n-gram and log weight 0; null ids are
 scored and drawn like others; labels that are null are skipped, of conflicting ones
@@ -30,16 +29,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lapwing.llm._common import id_fold, materialize, read_table, small_batches
+from lapwing.llm._common import id_fold, materialize, parted, read_table, slot, small_batches
 from lapwing.llm._words import mixed, tokens
 from lapwing.llm.byte_bpe import _rows, _text_cost
 
 BUCKETS = 1 << 16
 LENGTH = 64.0
 SMOOTHING = 1.0
-#: Good labelled texts that the target's model is fitted on, at most; chosen by a
-#: hash of their ids, which are broadcast, so that no text moves.
-TARGET_SAMPLE = 16_000
 _BINS = 4096
 
 
@@ -110,9 +106,11 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     fold = id_fold(F.col("doc_id"))
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg((F.min("quality") > 0).alias("label"))
     learnt = known.where(id_fold(F.col("doc_id")) != 0)
-    target = learnt.where("label").orderBy(F.xxhash64(F.col("doc_id").cast("string"), F.lit("quality")), "doc_id").limit(TARGET_SAMPLE)
-    marked = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left")
-    ratio = log_ratios(marked.select("text", F.coalesce("label", F.lit(False)).alias("good")))
+    target = learnt.where("label").select("doc_id", F.lit(True).alias("good"), slot(F.col("doc_id")).alias("_slot"))
+    # Only texts that may be good ones move, whatever the sizes (hence the hint).
+    sure, unsure = parted(docs.select("doc_id", "text", slot(F.col("doc_id")).alias("_slot")), target)
+    marked = unsure.join(target.drop("_slot").hint("merge"), "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
+    ratio = log_ratios(sure.select("text", F.lit(False).alias("good")).unionByName(marked))
     if share is None:
         share = learnt.agg(F.avg(F.col("label").cast("double")).alias("s")).first()["s"]
         share = 1.0 if not share else share
