@@ -45,3 +45,54 @@ def test_odd_rows(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(str(tmp_path / "e" / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "e" / "labels.parquet"))
     assert tox.op1_toxicity(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_scores_restated():
+    """Windows compressed one by one with new compressors, counted and weighed by hand."""
+    import math
+
+    import zstandard
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7)))
+    text = lambda bad: " ".join(w for _ in range(15) for w in ([word(), word(), word()] + ["wretched"] * (bad and rng.random() < 0.4)))
+    model = tox.fit([text(True) for _ in range(200)], [text(False) for _ in range(400)])
+    assert len(model.contents[0]) == len(model.contents[1]) and b"wretched" in model.contents[0] and b"wretched" not in model.contents[1]
+
+    def length(window, content):
+        params = zstandard.ZstdCompressionParameters.from_level(
+            tox.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS
+        )
+        d = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        d.precompute_compress(compression_params=params)
+        return len(zstandard.ZstdCompressor(dict_data=d, compression_params=params).compress(window))
+
+    for t in [text(True), text(False), "", "one", "wretched " * 30]:
+        words = t.lower().split()
+        saved = []
+        for i in range(0, len(words), tox.WINDOW):
+            window = "".join(" " + w for w in words[i : i + tox.WINDOW]).encode()
+            saved.append(length(window, model.contents[1]) - length(window, model.contents[0]))
+        n = max(1, len(saved))
+        x = [math.log1p(n)]
+        for step in tox.STEPS:
+            k = sum(s >= step for s in saved)
+            x += [math.log1p(k), math.sqrt(k / n)]
+        z = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale)) + model.weights[-1]
+        assert abs(tox.score_texts([t], model)[0] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_what_is_learnt_from(spark):
+    """Repeated ids give one text, nulls none, and the held-out fold nothing."""
+    rows = [(i, f"text {i}") for i in range(30)] + [(1, "another"), (None, "no id"), (2, None)]
+    labels = [(i, i % 2) for i in range(30)] + [(1, 0), (None, 1), (3, None)]
+    seen = []
+    fit = tox.fit
+    try:
+        tox.fit = lambda toxic, ordinary: seen.append((toxic, ordinary)) or tox.Model(None)
+        tox.learn(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    finally:
+        tox.fit = fit
+    learnt = [i for i in range(30) if not _held_out(i)]
+    want = lambda bad: sorted("another" if i == 1 else f"text {i}" for i in learnt if (i % 2 == 1) == bad)
+    assert [sorted(x) for x in seen[0]] == [want(True), want(False)]
