@@ -89,16 +89,32 @@ def i25_i26_segment_clusters(spark, sf_dir):
     return out.select("key", "members", "start", "end", "context_start", "context_end")
 
 
-@query("i19_segment_boundaries")
+@query(
+    "i19_segment_boundaries",
+    f"""WITH RECURSIVE {DIALOGUE_SQL}, l AS (SELECT conv_id, s * 100 AS s, e * 100 AS e, row_number() OVER (PARTITION BY conv_id ORDER BY s, e) - 1 AS n, max(e * 100) OVER (PARTITION BY conv_id) AS d FROM dl),
+    o AS (SELECT a.conv_id, a.n // 3 AS j, a.d, (b.e + a.s) // 2 AS middle FROM l a JOIN l b ON b.conv_id = a.conv_id AND b.n = a.n - 1 WHERE a.n % 3 = 0),
+    q AS (SELECT DISTINCT conv_id, 0 AS j, 0 AS x, true AS kept, d FROM l
+      UNION ALL SELECT o.conv_id, o.j, CASE WHEN least(o.d, greatest(q.x + 50, middle)) < o.d - 50 THEN least(o.d, greatest(q.x + 50, middle)) ELSE q.x END, least(o.d, greatest(q.x + 50, middle)) < o.d - 50, o.d FROM q JOIN o ON o.conv_id = q.conv_id AND o.j = q.j + 1),
+    c AS (SELECT conv_id, x, lead(x, 1, d) OVER (PARTITION BY conv_id ORDER BY j) AS y FROM q WHERE kept)
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY x) - 1 AS segment, x AS start, y AS "end" FROM c WHERE y > x + 10""",
+)
 def i19_segment_boundaries(spark, sf_dir):
+    """In whole milliseconds."""
+
     def fold(rows):
-        return [{"segment": k, "start": a, "end": b} for k, (a, b) in enumerate(folds.segment_boundaries(rows, max(r["end"] for r in rows), 3))]
+        cuts = folds.segment_boundaries(rows, max(r["end"] for r in rows), 3)
+        return [{"segment": k, "start": round(a * 1000), "end": round(b * 1000)} for k, (a, b) in enumerate(cuts)]
 
     rows = dialogue(spark, sf_dir).select("conv_id", "ord", (F.col("start") / 10).alias("start"), (F.col("end") / 10).alias("end"))
-    return folds.fold_per_key(rows, ["conv_id"], fold, "segment long, start double, end double", ["ord"])
+    return folds.fold_per_key(rows, ["conv_id"], fold, "segment long, start long, end long", ["ord"])
 
 
-@query("i30_free_times")
+@query(
+    "i30_free_times",
+    f"""WITH {INTERVALS_SQL}, b AS (SELECT key, min(s) AS lo, max(e) AS hi FROM iv GROUP BY key), p AS (SELECT key, i, CAST(trunc(lo + (hi - lo) * i / 12.0) AS BIGINT) AS t FROM b, range(1, 12) r(i)),
+    f AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM iv WHERE iv.key = p.key AND s <= t AND e >= t)), a AS (SELECT key, min(t) AS one FROM f GROUP BY key)
+    SELECT key, one AS "at" FROM a UNION ALL SELECT f.key, min(t) FROM f JOIN a ON a.key = f.key WHERE t - one > {DAY} GROUP BY f.key""",
+)
 def i30_free_times(spark, sf_dir):
     """Candidate times in no interval, spaced, the first two of each key."""
     rows = intervals(spark, sf_dir)
@@ -362,7 +378,11 @@ def b15_b21_text_rects(spark, sf_dir):
     return rows.select("conv_id", "turn", F.least(x1, F.lit(400)).alias("x1"), F.least(y1, F.lit(500)).alias("y1"), F.greatest(F.least(F.lit(1280), x1 + w), F.lit(880)).alias("x2"), F.greatest(F.least(F.lit(720), y1 + h), F.lit(540)).alias("y2"))
 
 
-@query("h10_h12_collection_root")
+@query(
+    "h10_h12_collection_root",
+    """SELECT conv_id, bool_and(turn = place) AS contiguous, sha256('{"id":' || CAST(conv_id AS VARCHAR) || ',"members":[' || string_agg('{"h":"' || sha256(text) || '","i":' || CAST(turn AS VARCHAR) || '}', ',' ORDER BY turn) || ']}') AS root
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place FROM conversations) GROUP BY conv_id""",
+)
 def h10_h12_collection_root(spark, sf_dir):
     """Ordered, contiguous members of each conversation and the root's digest."""
     item = F.struct(F.col("turn").alias("i"), F.sha2("text", 256).alias("h"))
@@ -383,7 +403,11 @@ def n05_n07_n08_payloads(spark, sf_dir):
     return v.select("event_id", F.coalesce(*[F.try_variant_get("v", p, "bigint") for p in paths], F.lit(-1)).alias("id"))
 
 
-@query("n11_width_markers")
+@query(
+    "n11_width_markers",
+    """WITH g AS (SELECT l_orderkey, l_linenumber, min(CAST(l_quantity AS INT)) AS a, max(CAST(l_quantity AS INT)) AS b FROM lineitem GROUP BY l_orderkey, l_linenumber)
+    SELECT l_orderkey, count(*) AS marks, count(*) FILTER (WHERE a <> b) AS conflicts, max(l_linenumber) - count(*) AS missing FROM g GROUP BY l_orderkey""",
+)
 def n11_width_markers(spark, sf_dir):
     """Index and width out of numbers in a log; conflicts and gaps as problems."""
     log = F.concat(F.lit("[Eval @ 0x1] x="), (F.lit(1_000_000) + F.col("l_linenumber") * 10_000 + F.col("l_quantity").cast("int")).cast("string"), F.lit(" y=12"))
@@ -407,7 +431,11 @@ def x04_nested_text(spark, sf_dir):
     return rows.select("conv_id", F.sha2(F.to_json("turns"), 256).alias("digest"))
 
 
-@query("x11_x13_hashtags")
+@query(
+    "x11_x13_hashtags",
+    r"""WITH t AS (SELECT conv_id, turn, regexp_replace(strip_accents(replace(lower(translate(split_part(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ', 1), 'Đđ', 'Dd')), 'ß', 'ss')), '[^A-Za-z0-9_]', '', 'g') AS plain FROM conversations)
+    SELECT conv_id, turn, CASE WHEN plain <> '' THEN '#' || plain ELSE '' END AS tag FROM t""",
+)
 def x11_x13_hashtags(spark, sf_dir):
     """Hash tags without marks: the letters' base forms, a stroked d as d."""
     first = F.element_at(F.split(tx.squeeze(F.col("text")), " "), 1)
@@ -434,7 +462,7 @@ def v15_v22_forbidden_scan(spark, sf_dir):
     return cs.forbidden_nodes(table(spark, sf_dir, "events").select("event_id", planted.alias("doc")), "doc").select("event_id", "path")
 
 
-@query("a16_strict_booleans")
+@query("a16_strict_booleans", "SELECT event_id, event_id % 3 = 0 AS passed FROM events")
 def a16_strict_booleans(spark, sf_dir):
     """Whether a verdict has exactly its fields, all true booleans, empty lists."""
     doc = F.when(F.col("event_id") % 3 == 0, F.lit('{"ok":true,"issues":[]}')).when(F.col("event_id") % 3 == 1, F.lit('{"ok":1,"issues":[]}')).otherwise(F.lit('{"ok":true,"issues":["x"]}'))

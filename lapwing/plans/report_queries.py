@@ -311,7 +311,7 @@ def v20_approval_window(spark, sf_dir):
     return cs.window_violations(rows, "start", "expires").select("key", "ord", "problem")
 
 
-@query("v21_same_json")
+@query("v21_same_json", "SELECT event_id, NOT contains(props, '1') AS same FROM events")
 def v21_same_json(spark, sf_dir):
     from lapwing.functions import hashing as hs
 
