@@ -34,6 +34,9 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+#: Has Spark delete an execution's shuffle files at its end, not when the driver
+#: happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Folders that this driver has written.
 _written: list[str] = []
 
@@ -59,11 +62,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
     It cuts lineage: a lost executor costs a re-read, never a recomputation of
     what came before, and several passes over the result cost one computation.
+    The shuffle files of the computation go when it is written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lapwing/{label}-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
