@@ -373,33 +373,77 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
     return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>, bits array<long>")
 
 
-#: Bytes of texts that a part of the pairs needs, and pairs in it, about.
-_PART_BYTES, _PART_PAIRS = 4 << 20, 50_000
+def sketch(shingles) -> bytes:
+    """How many hashes a set has, and their parities on two to four times as many
+    places, a power of two.  Folding the halves of the parities on each other gives
+    those on half the places, so sets of any two sizes can be compared."""
+    width = max(64 * _WORDS, 1 << (2 * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles >> np.uint64(7)).astype(np.int64) % width, minlength=width) & 1
+    return np.int64(len(shingles)).tobytes() + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose sets of shingles are that similar.  Only texts in
-    pairs move.  A part of the pairs gets each text that it needs once, however many
-    of its pairs need it."""
-    pairs = materialize(pairs, "pairs")
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("_slot", slot(F.col("node")))
-    nodes = materialize(nodes, "pair-nodes")
+def _folded(words, size: int):
+    while len(words) > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def _sketches_allow(threshold: float):
+    """For one sketch and others, whether the sets can be that similar, and how many
+    hashes both have."""
+
+    def allow(one, others):
+        out, n = np.zeros(len(others), bool), int(one[0])
+        for k, other in enumerate(others):
+            size = min(len(one), len(other)) - 1
+            unlike = np.bitwise_count(_folded(one[1:], size) ^ _folded(other[1:], size)).sum()
+            out[k] = unlike <= (n + int(other[0])) * _most_unlike(threshold) + 1e-6
+        return out
+
+    return allow
+
+
+def _sets_similar(threshold: float):
+    """For one set and others, whether they are that similar."""
+
+    def similar(one, others):
+        size = np.array([len(x) for x in others])
+        every = np.concatenate(others)
+        hit = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
+        common = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+        return common >= threshold * (size + len(one) - common) - 1e-9
+
+    return similar
+
+
+def _of_pairs(pairs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes of the pairs, and ``node, text`` of the texts that have them (and a
+    few more), without a shuffle of texts."""
+    nodes = materialize(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("_slot", slot(F.col("node"))), "pair-nodes")
     _, some = parted(texts.select("node", "text").withColumn("_slot", slot(F.col("node"))), nodes)
-    # One text a node, pre-aggregated: copies share their node.
-    needed = materialize(some.join(nodes.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "pair-texts")
-    size = needed.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()["bytes"]
-    parts = 1 + size // _PART_BYTES + pairs.count() // _PART_PAIRS
-    dealt = pairs.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(parts)))
-    need = dealt.select("part", F.explode(F.array("a", "b")).alias("node")).distinct().join(needed, "node")
-    need = need.select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "text")
-    both = need.unionByName(dealt.select("part", F.lit(1).alias("kind"), "a", "b", F.lit(None).cast("string").alias("text")))
+    return nodes.select("node"), some.select("node", "text")
+
+
+def _kept(pairs: DataFrame, values: DataFrame, load: Callable, test: Callable, most: int, label: str) -> DataFrame:
+    """The pairs ``a, b, n`` that pass the test on what ``load`` makes of their ends'
+    ``value``.  Pairs are dealt by the least partner of their greater end: most pairs
+    of a group are one part, so its values move once; a group whose pairs' ``n`` are
+    more than ``most`` in all is several parts."""
+    dealt = pairs.withColumn("least", F.min("a").over(Window.partitionBy("b")))
+    heavy = F.floor(F.sum("n").over(Window.partitionBy("least")) / F.lit(most)) + 1
+    dealt = materialize(dealt.select("a", "b", "n", F.xxhash64("least", F.pmod(F.xxhash64("b"), heavy)).alias("part")), "dealt")
+    need = dealt.select("part", F.explode(F.array("a", "b")).alias("node")).distinct()
+    # One value a node, pre-aggregated: copies share their node.
+    need = need.join(values.groupBy("node").agg(F.first("value").alias("value")), "node")
+    need = need.select("part", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("n"), "value")
+    both = need.unionByName(dealt.select("part", F.lit(1).alias("kind"), "a", "b", "n", F.lit(None).cast(values.schema["value"].dataType).alias("value")))
 
     def run(batches):
         import pyarrow as pa
 
         now, held = None, {}
         for batch in batches:
-            part, kind, a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            part, kind, a, b, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             if not len(part):
                 continue
             change = np.flatnonzero((part[1:] != part[:-1]) | (kind[1:] != kind[:-1]) | (b[1:] != b[:-1])) + 1
@@ -409,21 +453,43 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                     now, held = part[lo], {}
                 if kind[lo] == 0:
                     for k in range(lo, hi):  # one by one: the codes of a text take several times its size
-                        held[int(a[k])] = shingle_sets([batch.column(4)[k].as_py()])[0]
+                        held[int(a[k])] = load(batch.column(5)[k].as_py())
                     continue
-                one, others = held[int(b[lo])], [held[x] for x in a[lo:hi].tolist()]
-                size = np.array([len(x) for x in others])
-                every = np.concatenate(others)
-                hit = one[np.minimum(np.searchsorted(one, every), len(one) - 1)] == every
-                common = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
-                found.append(lo + np.flatnonzero(common >= threshold * (size + len(one) - common) - 1e-9))
+                found.append(lo + np.flatnonzero(test(held[int(b[lo])], [held[x] for x in a[lo:hi].tolist()])))
             if found:
                 k = np.concatenate(found)
-                yield pa.RecordBatch.from_arrays([pa.array(a[k]), pa.array(b[k])], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[k]) for x in (a, b, n)], ["a", "b", "n"])
         give_back()
 
     rows = both.repartition("part").sortWithinPartitions("part", "kind", "b")
-    return materialize(rows.mapInArrow(run, "a long, b long"), "similar")
+    return materialize(rows.mapInArrow(run, "a long, b long, n long"), label)
+
+
+#: Shingles of the pairs in a part, in all, while sketches and while sets are compared.
+_SKETCHED, _SETS = 1 << 24, 1 << 21
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs ``a, b, n`` (``n``: the shingles of both) whose sets of shingles are
+    that similar.  Only sketches of the texts in pairs move, and the texts whose
+    sketches leave a doubt: these are hardly ever unlike."""
+    pairs = materialize(pairs, "pairs")
+    nodes, some = _of_pairs(pairs, texts)
+
+    def run(batches):
+        import pyarrow as pa
+
+        from lapwing.llm.byte_bpe import _rows, _text_cost
+
+        for piece in _rows(batches, "text", _text_cost):
+            sketches = [sketch(x) for x in shingle_sets(piece.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(sketches, pa.binary())], ["node", "value"])
+
+    sketches = some.mapInArrow(run, "node long, value binary").join(nodes, "node", "left_semi")
+    close = _kept(pairs, sketches, lambda x: np.frombuffer(x, np.uint64), _sketches_allow(threshold), _SKETCHED, "close")
+    nodes, some = _of_pairs(close, texts)
+    some = some.join(nodes, "node", "left_semi").withColumnRenamed("text", "value")
+    return _kept(close, some, lambda x: shingle_sets([x])[0], _sets_similar(threshold), _SETS, "similar")
 
 
 def _pairs_across(threshold: float):
@@ -441,11 +507,12 @@ def _pairs_across(threshold: float):
             both = n[i] + n[rest]
             rest = rest[np.minimum(n[i] - pos[i], n[rest] - pos[rest]) >= both * (threshold / (1 + threshold)) - 1e-6]
             unlike = np.bitwise_count((bits[i] ^ bits[rest]).view(np.uint64)).sum(axis=1)  # of signed ones it counts the magnitude
-            other = node[rest[unlike <= (n[i] + n[rest]) * _most_unlike(threshold) + 1e-6]]
-            out.append((np.minimum(node[i], other), np.maximum(node[i], other)))
+            most = (n[i] + n[rest]) * _most_unlike(threshold) + 1e-6
+            other = node[rest[unlike <= most]]
+            out.append((np.minimum(node[i], other), np.maximum(node[i], other), n[i] + n[rest[unlike <= most]]))
             have += len(other)
             if have and (have >= 100_000 or i == len(node) - 2):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out])) for k in (0, 1, 2)], ["a", "b", "n"])
                 out, have = [], 0
 
     def run(batches):
@@ -490,14 +557,15 @@ def near_links(texts: DataFrame, prefixes: DataFrame, threshold: float) -> DataF
     for end in ("a", "b"):
         star = star.join(bits.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")), end)
     unlike = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    star = materialize(star.where(unlike <= (F.col("a_n") + F.col("b_n")) * _most_unlike(threshold) + 1e-6).select("a", "b"), "star")
+    both = F.col("a_n") + F.col("b_n")
+    star = materialize(star.where(unlike <= both * _most_unlike(threshold) + 1e-6).select("a", "b", both.alias("n")), "star")
     links = _verified(star, texts, threshold)
     groups = materialize(components(links), "star-groups")
     rooted = shared.drop("first").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = rooted.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).where("low != high")
     rest = rooted.select("h", "node", "n", "root", F.col("pos").cast("long").alias("pos")).join(bits.select("node", "bits"), "node")
     rest = rest.select("h", "node", "n", "root", "pos", "bits").repartition("h").sortWithinPartitions("h", "n")
-    across = rest.mapInArrow(_pairs_across(threshold), "a long, b long").distinct().join(star, ["a", "b"], "left_anti")
+    across = rest.mapInArrow(_pairs_across(threshold), "a long, b long, n long").distinct().join(star, ["a", "b"], "left_anti")
     return links.unionByName(_verified(across, texts, threshold))
 
 

@@ -67,3 +67,31 @@ def test_sample_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
     assert _kept(spark, rows) == brute_kept(rows)
+
+
+def test_sketches_part_long_sets():
+    """512 parities tell nothing of sets of thousands; sketches grow with the sets."""
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    allow = simhash._sketches_allow(0.8)
+    read = lambda x: np.frombuffer(simhash.sketch(x), np.uint64)
+    for n in (1, 9, 300, 3000, 20_000):
+        whole = np.unique(rng.integers(0, 1 << 64, 2 * n, dtype=np.uint64))
+        one = whole[: n + n // 8]
+        assert allow(read(one), [read(one), read(whole[:n])]).all()  # the same, and eight ninths of it
+        if n >= 300:  # similarity 0.6; of one set in half the other; nothing in common
+            assert not allow(read(whole[:n]), [read(whole[n // 4 : n // 4 + n]), read(whole[: 2 * n]), read(whole[n:])]).any()
+
+
+def test_long_texts_that_share_passages(spark):
+    rng = random.Random(8)
+    rows = []
+    for _ in range(6):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(2000)]
+        for _ in range(4):
+            x = list(base)
+            for k in rng.sample(range(2000), rng.choice([10, 40, 90, 120])):
+                x[k] = f"v{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(x)))
+    assert _kept(spark, rows) == brute_kept(rows)
