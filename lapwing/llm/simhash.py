@@ -259,6 +259,9 @@ def classes(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shi
 #: Words of a shingle, and the Jaccard similarity from which two texts are copies.
 NEAR_WORDS = 5
 NEAR_FROM = 0.8
+#: Fingerprints of a text's words: with one, two in five of the links at the
+#: threshold are candidates, with four most are.
+NEAR_SEEDS = 4
 #: Texts whose shingles are counted to tell the frequent ones, and how many of
 #: those are remembered.
 _SAMPLE, _FREQUENT = 8000, 100_000
@@ -272,7 +275,10 @@ def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
     is one shingle, and so is one without words."""
     from lapwing.llm.lm_scoring import token_hashes
 
-    codes, size = token_hashes(texts)
+    return _shingled(*token_hashes(texts), words)
+
+
+def _shingled(codes, size, words: int = NEAR_WORDS) -> list:
     turned = [mixed(codes + np.uint64((i + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) for i in range(words)]
     chain = np.zeros(len(codes), np.uint64)
     for i in range(words):
@@ -289,6 +295,24 @@ def shingle_sets(texts: list[str | None], words: int = NEAR_WORDS) -> list:
     return out
 
 
+def word_prints(codes, size):
+    """``NEAR_SEEDS`` independent fingerprints of the distinct words of each text.
+
+    Words change less than shingles when a text is edited: where one word in fifty
+    is another, a fingerprint of five-word shingles moves by ten bits, one of
+    distinct words by four."""
+    prints = np.zeros((len(size), NEAR_SEEDS), np.uint64)
+    for k, end in enumerate(np.cumsum(size).tolist()):
+        words = np.unique(codes[end - size[k] : end - 1])  # without the end
+        for s in range(NEAR_SEEDS):
+            h = mixed(words + np.uint64(s * 0x9E3779B97F4A7C15 % (1 << 64)))
+            ones = np.zeros(64, np.int64)
+            for at in range(0, len(h), 4096):
+                ones += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
+            prints[k, s] = np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0]
+    return prints.view(np.int64)
+
+
 def _least_common(size, threshold: float):
     """Shingles that a set of this size shares with any set that similar."""
     return np.ceil(threshold * size - 1e-9).astype(np.int64)
@@ -342,18 +366,20 @@ def _most_unlike(threshold: float) -> float:
 
 
 def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
-    """``node, doc_id, n, prefix, bits``: how many shingles a text has, its rarest
-    ones, so many that two texts of that similarity have one in common, and the
-    parities of all."""
+    """``node, doc_id, n, prefix, bits, prints``: how many shingles a text has, its
+    rarest ones, so many that two texts of that similarity have one in common, the
+    parities of all, and the fingerprints of its words."""
     frequent, count = _frequent_shingles(texts)
 
     def run(batches):
         import pyarrow as pa
 
         from lapwing.llm.byte_bpe import _rows, _text_cost
+        from lapwing.llm.lm_scoring import token_hashes
 
         for piece in _rows(batches, "text", _text_cost):
-            sets = shingle_sets(piece.column(1).to_pylist())
+            codes, tokens = token_hashes(piece.column(1).to_pylist())
+            sets, prints = _shingled(codes, tokens), word_prints(codes, tokens)
             size = np.array([len(x) for x in sets], np.int64)
             length = size - _least_common(size, threshold) + 1
             every = np.concatenate(sets)
@@ -368,9 +394,10 @@ def _prefixes(texts: DataFrame, threshold: float) -> DataFrame:
             cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array(first.view(np.int64)))
             bits = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * _WORDS), pa.array(parities(sets).reshape(-1)))
-            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix, bits], ["node", "doc_id", "n", "prefix", "bits"])
+            prints = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * NEAR_SEEDS), pa.array(prints.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(2), pa.array(size), prefix, bits, prints], ["node", "doc_id", "n", "prefix", "bits", "prints"])
 
-    return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>, bits array<long>")
+    return texts.mapInArrow(run, f"node long, doc_id {texts.schema['doc_id'].dataType.simpleString()}, n long, prefix array<long>, bits array<long>, prints array<long>")
 
 
 def sketch(shingles) -> bytes:
@@ -534,38 +561,65 @@ def _pairs_across(threshold: float):
     return run
 
 
+def print_pairs(texts: DataFrame) -> DataFrame:
+    """Candidates ``a, b, n``: of ``node, n, prints``, pairs that connect all texts
+    that one of the fingerprints connects by steps of at most 3 bits, found by the
+    chains of :func:`links`."""
+    each = texts.select("node", "n", F.posexplode("prints").alias("seed", "fp"))
+    named = materialize(each.groupBy("seed", "fp").agg(F.min(F.struct("node", "n")).alias("one")), "prints")
+    found = links(named.select("seed", "fp"))
+    for end in ("a", "b"):
+        found = found.join(named.select("seed", F.col("fp").alias(end), F.col("one").alias(f"one_{end}")), ["seed", end])
+    same = each.join(named, ["seed", "fp"]).select(F.col("one").alias("one_a"), F.struct("node", "n").alias("one_b"))
+    pairs = found.select("one_a", "one_b").unionByName(same).where("one_a.node != one_b.node")
+    return pairs.select(F.least("one_a.node", "one_b.node").alias("a"), F.greatest("one_a.node", "one_b.node").alias("b"), (F.col("one_a.n") + F.col("one_b.n")).alias("n")).distinct()
+
+
 def near_links(texts: DataFrame, prefixes: DataFrame, threshold: float) -> DataFrame:
     """Links ``a, b`` between the ``node`` of texts of at least that similarity,
     which connect all that such links connect.
 
-    Similar texts meet at a shingle of both their prefixes.  There each is first
+    Candidates are first those of the fingerprints; the links among them join most
+    copies.  What fingerprints miss follows, among texts that are not connected yet:
+    similar texts meet at a shingle of both their prefixes.  There each is first
     compared with one of them, another one at each shingle; that joins large groups
     of copies.  Then every pair that no link found so far connects is compared.
     Before whole sets are, sizes, places and parities tell what cannot be similar;
     what they leave are mostly links, so it does not grow with the square of those
     that share a passage."""
     bucket = Window.partitionBy("h")
+    unlike = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    known = materialize(prefixes.select("node", "n", "bits", "prints").dropDuplicates(["node"]), "known")
+
+    def rooted(rows, groups, node="node", root="root"):
+        named = groups.select(F.col("node").alias(node), F.col("root").alias(root))
+        return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
+
+    tried = materialize(print_pairs(known), "print-pairs")
+    links = _verified(tried, texts, threshold)
+    groups = materialize(components(links), "print-groups")
     shared = prefixes.select(F.posexplode("prefix").alias("pos", "h"), "node", "n")
     lead = F.min(F.struct(F.xxhash64("node", "h").alias("x"), "node", "n", "pos")).over(bucket)
     shared = shared.withColumns({"first": lead, "low": F.min("node").over(bucket), "high": F.max("node").over(bucket)}).where("low != high")
     shared = materialize(shared.select("h", "pos", "node", "n", F.struct("first.node", "first.n", "first.pos").alias("first")), "shared")
-    bits = materialize(prefixes.select("node", "n", "bits").dropDuplicates(["node"]), "parities")
     most = F.least(F.col("n") - F.col("pos"), F.col("first.n") - F.col("first.pos"))
     fits = most >= (F.col("n") + F.col("first.n")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-6)
     ends = F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b")
     star = shared.where((F.col("node") != F.col("first.node")) & fits).select(*ends).distinct()
     for end in ("a", "b"):
-        star = star.join(bits.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")), end)
-    unlike = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        star = rooted(star, groups, end, f"{end}_root")
+    star = star.where("a_root != b_root").select("a", "b").join(tried, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        star = star.join(known.select(F.col("node").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits")), end)
     both = F.col("a_n") + F.col("b_n")
     star = materialize(star.where(unlike <= both * _most_unlike(threshold) + 1e-6).select("a", "b", both.alias("n")), "star")
-    links = _verified(star, texts, threshold)
+    tried, links = tried.unionByName(star), links.unionByName(_verified(star, texts, threshold))
     groups = materialize(components(links), "star-groups")
-    rooted = shared.drop("first").join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = rooted.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).where("low != high")
-    rest = rooted.select("h", "node", "n", "root", F.col("pos").cast("long").alias("pos")).join(bits.select("node", "bits"), "node")
+    rest = rooted(shared.drop("first"), groups)
+    rest = rest.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).where("low != high")
+    rest = rest.select("h", "node", "n", "root", F.col("pos").cast("long").alias("pos")).join(known.select("node", "bits"), "node")
     rest = rest.select("h", "node", "n", "root", "pos", "bits").repartition("h").sortWithinPartitions("h", "n")
-    across = rest.mapInArrow(_pairs_across(threshold), "a long, b long, n long").distinct().join(star, ["a", "b"], "left_anti")
+    across = rest.mapInArrow(_pairs_across(threshold), "a long, b long, n long").distinct().join(tried, ["a", "b"], "left_anti")
     return links.unionByName(_verified(across, texts, threshold))
 
 

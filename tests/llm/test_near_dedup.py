@@ -95,3 +95,34 @@ def test_long_texts_that_share_passages(spark):
                 x[k] = f"v{rng.randrange(10**9)}"
             rows.append((len(rows), " ".join(x)))
     assert _kept(spark, rows) == brute_kept(rows)
+
+
+def test_fingerprints_come_first(spark, monkeypatch):
+    """The pairs of the four word fingerprints are what brute force connects, and near
+    copies are linked through them before any other candidate is made."""
+    import numpy as np
+
+    from lapwing.llm.lm_scoring import token_hashes
+
+    rng = random.Random(9)
+    rows = []
+    for _ in range(12):
+        base = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+        for _ in range(4):
+            x = list(base)
+            x[rng.randrange(300)] = f"v{rng.randrange(10**9)}"
+            rows.append((len(rows), " ".join(x)))
+    prints = simhash.word_prints(*token_hashes([t for _, t in rows])).view(np.uint64)
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (np.bitwise_count(prints[i] ^ prints[j]) <= 3).any():
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    seen, verify = [], simhash._verified
+    monkeypatch.setattr(simhash, "_verified", lambda pairs, *rest: seen.append(pairs) or verify(pairs, *rest))
+    assert _kept(spark, rows) == brute_kept(rows)
+    texts = [(i, 1, [int(x) for x in p.view(np.int64)]) for i, p in enumerate(prints)]
+    found = simhash.print_pairs(spark.createDataFrame(texts, "node long, n long, prints array<long>"))
+    roots = {r["node"]: r["root"] for r in simhash.components(found).collect()}
+    assert [roots.get(i, i) for i in range(len(rows))] == label and len(set(label)) < 20
+    assert len(seen) == 3 and seen[0].count() == found.count()
