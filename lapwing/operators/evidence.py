@@ -31,7 +31,9 @@ def agree(rows: DataFrame, other: DataFrame, keys: Sequence[str], fields: Mappin
     (own column: the other's).  Problems: ``no_<name>``, ``repeated_<name>`` and
     ``<name>.<field>``; of repeated ones the least is compared."""
     found = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields.values())])).alias("_o"))
-    rows = rows.join(found, list(keys), "left")
+    # Merged, never broadcast: there is one of these a key, and their size is guessed
+    # from the files' and says nothing of exploded rows and long digests.
+    rows = rows.join(found.hint("merge"), list(keys), "left")
     there = F.col("_n").isNotNull()
     checks = [F.when(~there, f"no_{name}"), F.when(F.col("_n") > 1, f"repeated_{name}")]
     checks += [F.when(there, _unlike(F.col(own), F.col(f"_o.f{i}"), f"{name}.{own}")) for i, own in enumerate(fields)]

@@ -49,3 +49,12 @@ def test_work_item_without_a_list(spark):
     assert _of(ev.work_items(items, listed, manifest, approvals, ["k"], ["record"], "doc"), "k") == {(1,): ["evidence"]}
     good = listed.union(spark.createDataFrame([(1, 0, "r")], listed.schema))
     assert _of(ev.work_items(items, good, manifest, approvals, ["k"], ["record"], "doc"), "k") == {(1,): []}
+
+
+def test_ledger_broadcasts_nothing(spark):
+    """Each side has a row an entry; the planner would guess them small and have the
+    driver hold them."""
+    from lapwing.plans import evidence_queries
+
+    plan = evidence_queries.j19_cue_ledger(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 3
