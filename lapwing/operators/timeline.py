@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,9 +43,10 @@ def rebase(lines: DataFrame, keys: Sequence[str], segment_start: float, duration
     # Shared out: every line starts where those before it and the pauses end.
     weight = F.greatest(F.lit(8), F.length("text"))
     n, total = F.count(F.lit(1)).over(w), F.sum(weight).over(w)
-    room = F.greatest(F.lit(1.0), duration - PAUSE * (n - 1))
+    # Exact until it is divided: rounded results that lie halfway would go astray.
+    room = F.greatest(F.lit(Decimal(1)), F.lit(Decimal(str(duration))) - F.lit(Decimal(str(PAUSE))) * (n - 1))
     ordered = w.orderBy("start", "ord")
-    rows = rows.withColumns({"_long": F.greatest(F.lit(SHARED_LEAST), room * weight / total), "_left": n - F.row_number().over(ordered)})
+    rows = rows.withColumns({"_long": F.greatest(F.lit(SHARED_LEAST), (room * weight).cast("double") / total), "_left": n - F.row_number().over(ordered)})
     before = F.coalesce(F.sum(F.col("_long") + PAUSE).over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rows = rows.withColumn("_at", F.least(F.lit(duration), before))
     limit = F.lit(duration)

@@ -77,3 +77,15 @@ def test_gaps_are_recovered_by_middle(spark):
     assert sorted((r["start"], r["end"]) for r in out.collect()) == [(0, 10), (10, 16), (20, 24), (30, 40), (80, 90)]
     twice = cover.recover_gaps(lines, [(found, 5), (frame([(17, 19)]), 5)], ["key"], lambda df: df.where("end - start > 5"))
     assert sorted((r["start"], r["end"]) for r in twice.collect()) == [(0, 10), (10, 16), (30, 40), (80, 90)]
+
+
+@pytest.mark.parametrize("n, total, first, us", [(2, 192, 57, 11821562), (3, 384, 33, 3406562), (3, 640, 33, 2043937), (4, 192, 57, 11714687)])
+def test_shared_out_without_rounding_before_the_division(spark, n, total, first, us):
+    """These shares lie halfway between two microseconds: the room, 40 seconds less
+    pauses of 0.18, is decimal, and a last bit of it would decide."""
+    rest, left = divmod(total - first, n - 1)
+    sizes = [first, *[rest + (k < left) for k in range(n - 1)]]
+    rows = spark.createDataFrame([("k", i, "x" * size, 100.0 * i, 100.0 * i + 1) for i, size in enumerate(sizes)], "key string, ord long, text string, start double, end double")
+    out = timeline.rebase(rows, ["key"], 5.0, 40.0).where("ord = 0").first()
+    assert out["how"] == "shared" and out["end"] == (4000 - 18 * (n - 1)) * first / 100 / total
+    assert int(out["end"] * 1e6) == us
