@@ -113,6 +113,26 @@ def greedy_keep(items: Column, order: Column, share: float) -> Column:
     )
 
 
+def connected_rect(items: Column, margin: int) -> Column:
+    """Envelope ``struct<x1, y1, x2, y2>`` of what the lowest rectangle (by its middle,
+    then the larger, then the later by ``ord``) of ``array<struct<ord, x1, y1, x2, y2>>``
+    reaches: rectangles that meet the envelope so far grown by ``margin``.
+
+    What the envelope holds changes it no more, so all are tried in each round; a
+    round that reaches nothing new is followed by none that does, and every other
+    one reaches a rectangle at least: as many rounds as rectangles suffice."""
+
+    def grown(g: Column, r: Column) -> Column:
+        meets = (F.least(r["x2"], g["x2"] + margin) > F.greatest(r["x1"], g["x1"] - margin)) & (F.least(r["y2"], g["y2"] + margin) > F.greatest(r["y1"], g["y1"] - margin))
+        return F.when(meets, F.struct(F.least(g["x1"], r["x1"]).alias("x1"), F.least(g["y1"], r["y1"]).alias("y1"), F.greatest(g["x2"], r["x2"]).alias("x2"), F.greatest(g["y2"], r["y2"]).alias("y2"))).otherwise(g)
+
+    corners = ("x1", "y1", "x2", "y2")
+    area = lambda r: (r["x2"] - r["x1"]).cast("long") * (r["y2"] - r["y1"])
+    lowest = F.array_max(F.transform(items, lambda r: F.struct((r["y1"] + r["y2"]).alias("low"), area(r).alias("area"), r["ord"].alias("ord"), *[r[c].alias(c) for c in corners])))
+    sure = lambda s: F.struct(*[F.coalesce(s[c], F.lit(0)).alias(c) for c in corners])
+    return F.aggregate(F.slice(items, 2, F.size(items)), sure(lowest), lambda g, _: F.aggregate(items, g, grown))
+
+
 def priority(score: Column, text_is_cjk: Column, area: Column, good: float = 0.3) -> Column:
     """Score with bonuses for script, for a good score and for size (capped)."""
     return score + F.when(text_is_cjk, 1.0).otherwise(0.0) + F.when(score >= good, 0.35).otherwise(0.0) + F.least(F.lit(0.25), area / 50000.0)

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lapwing.datasets import BOXES_SQL, DIALOGUE_SQL, INTERVALS_SQL, boxes, dialogue, intervals, table
+from lapwing.functions import geometry
 from lapwing.operators import folds
 from lapwing.operators import intervals as iv
 from lapwing.operators import joins as jn
@@ -309,10 +310,8 @@ def c06_merge_blur(spark, sf_dir):
 
 @query("b17_connected_rect")
 def b17_connected_rect(spark, sf_dir):
-    def fold(rows):
-        return [dict(zip(("x1", "y1", "x2", "y2"), folds.connected_rect([folds.box_of(r) for r in rows], 12)))]
-
-    return folds.fold_per_key(boxes(spark, sf_dir), ["frame"], fold, _BOX, ["ord"])
+    found = boxes(spark, sf_dir).groupBy("frame").agg(F.collect_list(F.struct("ord", "x1", "y1", "x2", "y2")).alias("r"))
+    return found.select("frame", geometry.connected_rect(F.col("r"), 12).alias("b")).select("frame", "b.*")
 
 
 @query(
