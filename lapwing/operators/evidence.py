@@ -26,14 +26,21 @@ def _unlike(a: Column, b: Column, name: str) -> Column:
     return F.when(~a.eqNullSafe(b), name)
 
 
-def agree(rows: DataFrame, other: DataFrame, keys: Sequence[str], fields: Mapping[str, str], name: str) -> DataFrame:
+def agree(rows: DataFrame, other: DataFrame, keys: Sequence[str], fields: Mapping[str, str], name: str, named: Sequence[str] = ()) -> DataFrame:
     """Each row needs exactly one row of ``other`` with its keys, equal in the fields
     (own column: the other's).  Problems: ``no_<name>``, ``repeated_<name>`` and
-    ``<name>.<field>``; of repeated ones the least is compared."""
-    found = other.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields.values())])).alias("_o"))
+    ``<name>.<field>``; of repeated ones the least is compared.
+
+    ``named``: further keys that rows aren't dealt by.  Joins on the same ``keys`` then
+    move their rows once, whatever is named; what shares the keys is met in pairs."""
+    found = other.groupBy(*keys, *named).agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct(*[F.col(c).alias(f"f{i}") for i, c in enumerate(fields.values())])).alias("_o"))
     # Merged, never broadcast: there is one of these a key, and their size is guessed
     # from the files' and says nothing of exploded rows and long digests.
-    rows = rows.join(found.hint("merge"), list(keys), "left")
+    found = found.withColumnsRenamed({c: f"_at_{c}" for c in (*keys, *named)}).hint("merge")
+    same = [F.col(c) == F.col(f"_at_{c}") for c in keys]
+    # As two bounds, since the planner would deal rows by an equality, too.
+    same += [(F.col(c) <= F.col(f"_at_{c}")) & (F.col(c) >= F.col(f"_at_{c}")) for c in named]
+    rows = rows.join(found, same, "left").drop(*[f"_at_{c}" for c in (*keys, *named)])
     there = F.col("_n").isNotNull()
     checks = [F.when(~there, f"no_{name}"), F.when(F.col("_n") > 1, f"repeated_{name}")]
     checks += [F.when(there, _unlike(F.col(own), F.col(f"_o.f{i}"), f"{name}.{own}")) for i, own in enumerate(fields)]
@@ -165,14 +172,21 @@ def speech_attempts(rows: DataFrame, approvals: DataFrame, keys: Sequence[str],
     ).drop("_place", "_last", "_ok", "_audio", "_may")
 
 
-def ledger(entries: DataFrame, manifest: DataFrame, translations: DataFrame, speech: DataFrame, keys: Sequence[str]) -> DataFrame:
+def ledger(entries: DataFrame, manifest: DataFrame, translations: DataFrame, speech: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Ledger entries against what they name: the manifest's cue of the same number,
     the translation and the speech attempt of the named digests, and the times: a
-    cue begins after the one before has ended, by the gap that is recorded."""
+    cue begins after the one before has ended, by the gap that is recorded.
+
+    Each table is dealt once, by ``keys`` and number, and all joins run on that, as
+    moving entries for every join fills the disks (digests don't compress).  One that
+    is already dealt so, to as many ``partitions``, doesn't move."""
     at = [*keys, "index"]
+    translations = translations.select(*at, F.col("sha256").alias("translation_sha256"), "source_sha256", "candidate_sha256", "text")
+    speech = speech.select(*at, F.col("sha256").alias("speech_sha256"), "candidate_sha256", "onset", "offset")
+    entries, manifest, translations, speech = (d.repartition(*([partitions] if partitions else []), *at) for d in (entries, manifest, translations, speech))
     rows = agree(entries, manifest, at, {"cue_id": "cue_id", "source_sha256": "source_sha256"}, "cue")
-    rows = agree(rows, translations.select(*keys, "index", F.col("sha256").alias("translation_sha256"), "source_sha256", "candidate_sha256", "text"), [*at, "translation_sha256"], {c: c for c in ("source_sha256", "candidate_sha256", "text")}, "translation")
-    rows = agree(rows, speech.select(*keys, "index", F.col("sha256").alias("speech_sha256"), "candidate_sha256", "onset", "offset"), [*at, "speech_sha256"], {c: c for c in ("candidate_sha256", "onset", "offset")}, "speech")
+    rows = agree(rows, translations, at, {c: c for c in ("source_sha256", "candidate_sha256", "text")}, "translation", ["translation_sha256"])
+    rows = agree(rows, speech, at, {c: c for c in ("candidate_sha256", "onset", "offset")}, "speech", ["speech_sha256"])
     w = Window.partitionBy(*keys).orderBy("index")
     rows = rows.withColumns({"_place": F.row_number().over(w) - 1, "_end": F.lag("offset").over(w)})
     gap = F.col("onset") - F.col("_end") - 1

@@ -13,6 +13,7 @@ from lapwing.operators import evidence as ev
 from lapwing.registry import query
 
 DAY = ev.DAY_SECONDS
+DEALT = 20_000  # orders a partition: the documents made of them are sorted in a task's memory
 ROLES = ["clean_a", "clean_b", "speech_a", "speech_b"]
 
 
@@ -202,7 +203,10 @@ def j19_cue_ledger(spark, sf_dir):
     i = F.col("index")
     onset = i * 100 - F.when(_hit(31, 7, i == 1), 50).otherwise(0)
     offset = F.when(_hit(29, 6, i == 2), onset).otherwise(i * 100 + 80)
-    every = _thrice(spark, sf_dir).withColumns({"onset": onset, "offset": offset, "number": i.cast("string")})
+    # Numbers are dealt before documents are made of them, so that no digest moves.  By
+    # the count of rows (Parquet's own): the numbers' bytes say nothing of the documents'.
+    partitions = max(2, -(-_orders(spark, sf_dir).count() // DEALT))  # a single one counts as dealt by no key
+    every = _thrice(spark, sf_dir).repartition(partitions, "k", "index").withColumns({"onset": onset, "offset": offset, "number": i.cast("string")})
     sha = lambda what: _sha(what, "k", F.col("number"))
     gap = F.when(i > 0, F.col("onset") - ((i - 1) * 100 + 80) - 1 + F.when(_hit(37, 8), 1).otherwise(0))
     entries = every.select(
@@ -212,7 +216,7 @@ def j19_cue_ledger(spark, sf_dir):
     manifest = every.where(~_hit(11, 1, i == 2)).select("k", "index", sha("cue").alias("cue_id"), F.when(_hit(13, 2), "x").otherwise(sha("src")).alias("source_sha256"))
     translations = every.where(~_hit(17, 3, i == 1)).select("k", "index", sha("tr").alias("sha256"), sha("src").alias("source_sha256"), sha("cand").alias("candidate_sha256"), F.when(_hit(19, 4), "x").otherwise(F.col("number")).alias("text"))
     speech = every.select("k", "index", sha("tts").alias("sha256"), sha("cand").alias("candidate_sha256"), (F.col("onset") + F.when(_hit(23, 5, i == 1), 1).otherwise(0)).alias("onset"), "offset")
-    return _problems(ev.ledger(entries, manifest, translations, speech, ["k"]), "index")
+    return _problems(ev.ledger(entries, manifest, translations, speech, ["k"], partitions), "index")
 
 
 @query(
